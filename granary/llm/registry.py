@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, sharding
+from . import bpe, mixing, quality, sharding
 
 MODULES = {
     "op1_sharding": sharding,
     "op2_quality_rules": quality,
+    "op3_bpe": bpe,
+    "op7_mixing": mixing,
 }
 
 
