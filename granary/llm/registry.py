@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, sharding
+from . import bpe, fingerprints, html_text, language, licenses, mixing, quality, sharding
 
 MODULES = {
     "op1_sharding": sharding,
     "op2_quality_rules": quality,
     "op3_bpe": bpe,
+    "op4_fingerprints": fingerprints,
+    "op5_license_scan": licenses,
+    "op6_language_id": language,
     "op7_mixing": mixing,
+    "op9_html_text": html_text,
 }
 
 
