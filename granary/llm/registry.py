@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, html_text, language, licenses, mixing, quality, sharding
+from . import bpe, fingerprints, html_text, jaccard, language, licenses, mixing, quality, sharding
 
 MODULES = {
     "op1_sharding": sharding,
@@ -16,6 +16,7 @@ MODULES = {
     "op5_license_scan": licenses,
     "op6_language_id": language,
     "op7_mixing": mixing,
+    "op8_jaccard_join": jaccard,
     "op9_html_text": html_text,
 }
 
