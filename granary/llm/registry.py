@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, html_text, jaccard, language, licenses, mixing, quality, sharding
+from . import bpe, fingerprints, html_text, jaccard, language, licenses, mixing, passages, quality, sharding
 
 MODULES = {
     "op1_sharding": sharding,
@@ -18,6 +18,7 @@ MODULES = {
     "op7_mixing": mixing,
     "op8_jaccard_join": jaccard,
     "op9_html_text": html_text,
+    "op10_passages": passages,
 }
 
 
