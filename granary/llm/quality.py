@@ -115,7 +115,10 @@ def judge(df: DataFrame, text: str = "text", base: Sequence[Rule] = BASE_RULES,
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of df that break no rule, with df's columns."""
     judged, q = judge(df, text)
-    return judged.filter(F.col(q)["kept"]).select(*[col(c) for c in df.columns])
+    (row,) = fresh(judged, "row")
+    # a filter moves below a projection only if that is deterministic; moved, it would measure each text anew for each rule
+    judged = judged.withColumn(row, F.monotonically_increasing_id())
+    return judged.filter(F.col(q)["kept"] & (F.col(row) >= 0)).select(*[col(c) for c in df.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
