@@ -1 +1 @@
-"""Filled in by later modules."""
+"""Scalar functions as Column expressions; Arrow UDFs only where Spark has no built-in."""

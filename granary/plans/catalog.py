@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from . import audit, base, dedup  # noqa: F401
 
-def queries():
-    return {}
 
+def queries() -> dict[str, base.Query]:
+    return dict(base.QUERIES)
 
-def oracle_sql():
-    return {}
+
+def oracle_sql() -> dict[str, str]:
+    return dict(base.SQL)
