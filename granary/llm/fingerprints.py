@@ -19,6 +19,8 @@ from .common import col, documents, durable
 
 #: Rows that leave a worker at a time.
 SLICE = 512
+#: Lists of up to so many keys are broadcast (about 60 bytes each); longer ones are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def canonical(text: str) -> str:
@@ -65,18 +67,25 @@ def collisions(texts: DataFrame, bucket: str, text: str) -> DataFrame:
     return whole.groupBy("bucket", "canonical").count().groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > 1).select("bucket")
 
 
+def several(base: DataFrame, keys: DataFrame) -> DataFrame:
+    """bucket, text of the rows of base (k, text) that keys (k, bucket) names; texts stay where they are if the list is short."""
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    keys = keys.select(F.col("k").alias("named"), "bucket")
+    return base.join(keys, F.col("k").eqNullSafe(F.col("named"))).select("bucket", "text")
+
+
 def fingerprint(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_chars, fingerprint of each row; null text counts as ''.
 
     Equal texts, and texts equal after folding, have equal fingerprints and no others do. Rows are kept as they are, repeated
     ones too; an empty table gives an empty table; other columns are ignored.
     """
-    base = df.select(col(key).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"))
+    base = df.select(col(key).alias("k"), F.coalesce(col(text), F.lit("")).alias("text"))
     light = durable(_added(base.withColumn("n_chars", F.char_length("text").cast("long")), _strings("bucket", "part"), ["text"], lambda c: list(zip(*[digest(t) for t in c("text")], strict=True)) or [[], []]))
     shared = light.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bucket")
-    keys = light.join(shared, "bucket", "left_semi").select("key", "bucket").distinct()
-    clash = collisions(base.join(keys, base["key"].eqNullSafe(keys["key"])).select("bucket", "text"), "bucket", "text").withColumn("clash", F.lit(True))
-    return light.join(clash, "bucket", "left").select(F.col("key").alias(key), "n_chars", F.when(F.col("clash"), F.concat_ws("-", "bucket", "part")).otherwise(F.col("bucket")).alias("fingerprint"))
+    clash = collisions(several(base, light.join(shared, "bucket", "left_semi").select("k", "bucket").distinct()), "bucket", "text").withColumn("clash", F.lit(True))
+    return light.join(clash, "bucket", "left").select(F.col("k").alias(key), "n_chars", F.when(F.col("clash"), F.concat_ws("-", "bucket", "part")).otherwise(F.col("bucket")).alias("fingerprint"))
 
 
 def likeness(a, b):
@@ -84,53 +93,122 @@ def likeness(a, b):
     return F.when(a == b, 1.0).otherwise(0.0)
 
 
+def _edit(text: str, following: str) -> str:
+    """text with its last quarter replaced by the start of the following text."""
+    taken = len(text) // 4
+    return text[: len(text) - taken] + following[:taken]
+
+
+#: Columns of a row on its way: key, hash of the text, compressed text, code points, digest.
+_ROW = "range int, k long, th long, z binary, n_chars long, bucket string, part string"
+_OUT = "k long, n_chars long, edited_sha256 string, bucket string, part string, edited_bucket string, edited_part string, next_bucket string, next_part string"
+
+
+def _edited_row(row: dict, following: dict) -> tuple:
+    import zstandard
+
+    text, after = (zstandard.decompress(r["z"]).decode("utf-8", "surrogatepass") if r["n_chars"] else "" for r in (row, following))
+    new = _edit(text, after)
+    return (row["k"], row["n_chars"], hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), row["bucket"], row["part"], *digest(new), following["bucket"], following["part"])
+
+
+def _table(rows: list[tuple], schema: T.StructType):
+    import pyarrow as pa
+
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=kinds[f.dataType.simpleString()]) for k, f in enumerate(schema.fields)], names=schema.names)
+
+
 def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: fingerprint of its text, of the edited text, and likeness to that and to the next row's.
 
     Edited text: the last floor(n_chars / 4) code points are replaced by the first as many (or all) of the next row's text
-    in ascending order of key, a hash of the text deciding ties and null keys first; after the last row comes the first.
-    Rows equal in key and text count once in that order and get equal results. A single row is its own next.
+    in ascending order of the key (an integer), null keys first, ties by a hash of the text; after the last row comes the
+    first. Rows equal in key and text count once in that order and get equal results. A single row is its own next. Null
+    texts are empty.
 
-    The texts are shuffled once, by key; every other shuffle carries keys and hashes, or the quarter that an edit takes over.
+    Rows go to ranges of the key once, with their texts compressed; a task walks along its ranges with one row in hand. Only
+    the first and the last row of each range meet those of other ranges.
     """
-    base = df.select(col(key).alias("k"), F.coalesce(col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    dealt = base.repartition("k", "th")
-    hashed = _added(base.withColumn("n_chars", F.char_length("text").cast("long")), _strings("bucket", "part"), ["text"], lambda c: list(zip(*[digest(t) for t in c("text")], strict=True)) or [[], []])
-    light = durable(hashed)
-    # one row for each of the succession, dealt out by ranges of the key; the checkpoint fixes the ranges' numbers
-    ranged = light.distinct().repartitionByRange(F.col("k").asc_nulls_first(), F.col("th"))
-    ranged = durable(ranged.withColumn("range", F.spark_partition_id()))
-    here = F.struct("k", "th", "n_chars", "bucket", "part")
-    within = Window.partitionBy("range").orderBy(F.col("k").asc_nulls_first(), "th")
-    following = ranged.withColumn("next", F.lead(here).over(within)).withColumn("first", F.row_number().over(within) == 1)
-    following = durable(following)
-    heads = following.filter("first").select("range", here.alias("head"))
-    ends = Window.orderBy("range")  # a row for each range that has rows
-    everywhere = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = heads.select("range", F.coalesce(F.lead("head").over(ends), F.first("head").over(everywhere)).alias("head"))
-    shared = light.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    chain = following.join(after, "range").select("k", "th", "n_chars", "bucket", "part", F.coalesce("next", "head").alias("next"))
-    chain = durable(chain.join(shared, "bucket", "left").withColumn("copies", F.coalesce("n", F.lit(1))).drop("n"))
-
-    # the texts of buckets with several rows, compared byte by byte
-    several = chain.filter(F.col("copies") > 1).select(F.col("k").alias("k2"), F.col("th").alias("th2"), "bucket")
-    same_row = lambda k, th: dealt["k"].eqNullSafe(F.col(k)) & (dealt["th"] == F.col(th))
-    clash = durable(collisions(dealt.join(several, same_row("k2", "th2")).select("bucket", "text"), "bucket", "text"))
-
-    quarter = F.floor(F.col("take") / 4).cast("int")
-    wanted = chain.select(F.col("k").alias("to_k"), F.col("th").alias("to_th"), F.col("n_chars").alias("take"), F.col("next.k").alias("from_k"), F.col("next.th").alias("from_th"), "bucket", "part", F.col("next.bucket").alias("next_bucket"), F.col("next.part").alias("next_part"))
-    # rows equal in key and text are one source of the piece
-    pieces = dealt.dropDuplicates(["k", "th"]).join(wanted, same_row("from_k", "from_th")).select("to_k", "to_th", F.left("text", quarter).alias("piece"), "take", "bucket", "part", "next_bucket", "next_part")
-    edited = dealt.join(pieces, same_row("to_k", "to_th")).select("k", F.col("take").alias("n_chars"), F.concat(F.left("text", (F.col("take") - quarter).cast("int")), "piece").alias("edited"), "bucket", "part", "next_bucket", "next_part")
-
-    def edit(c):
-        rows = [(hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest(), *digest(t)) for t in c("edited")]
-        return list(zip(*rows, strict=True)) or [[], [], []]
-
-    out = _added(edited, _strings("edited_sha256", "edited_bucket", "edited_part"), ["edited"], edit)
+    spark = df.sparkSession
+    base = df.select(col(key).cast("long").alias("k"), F.coalesce(col(text), F.lit("")).alias("text"))
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = [i / ranges for i in range(1, ranges)]
+    bounds = base.agg(F.percentile_approx("k", share, 20 * ranges).alias("b")).first()["b"] or []
+    # the number of bounds below the key
+    place = F.coalesce(F.size(F.filter(F.lit(sorted(set(bounds))), lambda b: b < F.col("k"))), F.lit(-1)) if bounds else F.lit(0)
+    row = T.StructType.fromDDL(_ROW)
+    schema = T.StructType([*row.fields])
+
+    def pack(batches: Iterator) -> Iterator:
+        import zstandard
+
+        small = zstandard.ZstdCompressor(level=1)
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                ranges_, ks, ths, texts = (c.to_pylist() for c in whole.slice(start, SLICE).columns)
+                yield _table([(r, k, h, small.compress(t.encode("utf-8", "surrogatepass")), len(t), *digest(t)) for r, k, h, t in zip(ranges_, ks, ths, texts, strict=True)], schema)
+
+    packed = base.select(place.alias("range"), "k", F.xxhash64("text").alias("th"), "text").mapInArrow(pack, schema)
+    dealt = packed.repartition("range").sortWithinPartitions("range", F.col("k").asc_nulls_first(), "th")
+    walked = T.StructType([T.StructField("role", T.StringType()), *row.fields, *[f for f in T.StructType.fromDDL(_OUT).fields if f.name not in row.names]])
+    names = row.names
+    blank = len(walked.fields) - 1 - len(names)
+
+    def walk(batches: Iterator) -> Iterator:
+        # held: the last row, as often as it repeats; first: whether it is its range's first
+        held: list[dict] = []
+        out: list[tuple] = []
+
+        def let_go(following: dict | None) -> None:
+            for r in held:
+                if following is None:
+                    out.append(("last", *[r[n] for n in names], *[None] * blank))
+                else:
+                    k, n, sha, b, p, eb, ep, nb, np_ = _edited_row(r, following)
+                    out.append(("done", r["range"], k, None, None, n, b, p, sha, eb, ep, nb, np_))
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if held and (held[0]["k"], held[0]["th"], held[0]["range"]) == (r["k"], r["th"], r["range"]):
+                    held.append(r)
+                    continue
+                inside = bool(held) and held[0]["range"] == r["range"]
+                if held:
+                    let_go(r if inside else None)
+                if not inside:
+                    out.append(("first", *[r[n] for n in names], *[None] * blank))
+                held = [r]
+                if len(out) >= SLICE:
+                    yield _table(out, walked)
+                    out = []
+        if held:
+            let_go(None)
+        yield _table(out, walked)
+
+    rows = durable(dealt.mapInArrow(walk, walked))
+    # the range after each: one row for every range that has rows, keys and texts aside
+    present = rows.filter("role = 'first'").select("range").distinct()
+    order = Window.orderBy("range")
+    after = present.select("range", F.coalesce(F.lead("range").over(order), F.min("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("then"))
+    last = rows.filter("role = 'last'").select("range", F.struct(*names).alias("row"))
+    first = rows.filter("role = 'first'").select(F.col("range").alias("then"), F.struct(*names).alias("following"))
+    meet = last.join(after, "range").join(first, "then").select("row", "following")
+    end = T.StructType.fromDDL(_OUT)
+
+    def edit(batches: Iterator) -> Iterator:
+        for batch in batches:
+            yield _table([_edited_row(r["row"], r["following"]) for r in batch.to_pylist()], end)
+
+    out = rows.filter("role = 'done'").select(*end.names).union(meet.mapInArrow(edit, end))
+    out = durable(out)
+    shared = out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bucket")
+    clash = durable(collisions(several(base, out.join(shared, "bucket", "left_semi").select("k", "bucket").distinct()), "bucket", "text"))
+    none = clash.isEmpty()
     for name in ("", "edited_", "next_"):
         mark = clash.select(F.col("bucket").alias(f"{name}bucket"), F.lit(True).alias("clash"))
-        out = out.join(mark, f"{name}bucket", "left").withColumn(f"{name}fingerprint", F.when(F.col("clash"), F.concat_ws("-", f"{name}bucket", f"{name}part")).otherwise(F.col(f"{name}bucket"))).drop("clash")
+        marked = out.withColumn("clash", F.lit(False)) if none else out.join(mark, f"{name}bucket", "left")
+        out = marked.withColumn(f"{name}fingerprint", F.when(F.col("clash"), F.concat_ws("-", f"{name}bucket", f"{name}part")).otherwise(F.col(f"{name}bucket"))).drop("clash")
     own = F.col("fingerprint")
     return out.select(F.col("k").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(own, F.col("edited_fingerprint")).alias("near_edited"), likeness(own, F.col("next_fingerprint")).alias("near_next"))
 
