@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, base, dedup  # noqa: F401
+from . import audit, base, dedup, operations  # noqa: F401
 
 
 def queries() -> dict[str, base.Query]:
