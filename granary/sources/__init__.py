@@ -1 +1 @@
-"""Filled in by later modules."""
+"""Readers: raw files, feeds, archives, and the parsers that turn bulletins into quote rows."""

@@ -1 +1 @@
-"""Filled in by later modules."""
+"""Incremental ingestion and synchronisation with Structured Streaming."""
