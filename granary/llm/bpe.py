@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, fresh
+from .common import col, documents, extended, fresh, map_arrow
 
 #: Code points of a leaf of the tree; longer stretches without white space are halved.
 LEAF = 2_048
@@ -169,7 +169,7 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None) -> tuple[
     """
     path = path or vocabulary()
     ids, decoded = fresh(df, "ids", "decoded")
-    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]
     place = df.columns.index(text)
 
     def run(batches: Iterator) -> Iterator:
@@ -184,10 +184,9 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None) -> tuple[
                 done = codec.batch(column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist())
                 ends = np.cumsum([0] + [len(i) // 4 for i, _ in done], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(i for i, _ in done), dtype=np.int32), type=pa.int32())
-                arrays = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), values), pa.array([d for _, d in done], type=pa.string())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, ids, decoded])
+                yield extended(batch, pa.ListArray.from_arrays(pa.array(ends), values), pa.array([d for _, d in done], type=pa.string()))
 
-    return df.mapInArrow(run, schema), ids, decoded
+    return map_arrow(df, run, added), ids, decoded
 
 
 def digests(df: DataFrame, key: list[str], text: str = "text", path: str | None = None) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space that ends a word: U+0020 and U+0009 to U+000D. Fixed value.
 SPACE = " \t\n\x0b\x0c\r"
@@ -51,6 +53,24 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequence[str] | None = None) -> DataFrame:
+    """df.mapInArrow(run) where run returns df's columns and then the added ones, in that order.
+
+    Columns travel under plain names, as Spark can't pass on names with dots; names renames the result (df's and the added).
+    """
+    plain = [f"c{i}" for i in range(len(df.columns))]
+    fields = [T.StructField(n, f.dataType) for n, f in zip(plain, df.schema.fields, strict=True)]
+    new = [T.StructField(f"a{i}", f.dataType) for i, f in enumerate(added)]
+    return df.toDF(*plain).mapInArrow(run, T.StructType([*fields, *new])).toDF(*(names or [*df.columns, *(f.name for f in added)]))
+
+
+def extended(batch, *arrays):
+    """A record batch with more columns, named as map_arrow expects."""
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *(f"a{i}" for i in range(len(arrays)))])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, fresh, pages
+from .common import col, extended, fresh, map_arrow, pages
 
 # Element names and words of class, id and role. Fixed values.
 BLOCKS = frozenset(
@@ -165,7 +165,6 @@ def main_text(df: DataFrame, html: str = "html") -> tuple[DataFrame, str]:
     An empty table gives an empty table; other columns pass through whatever their names.
     """
     (out,) = fresh(df, "text")
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     place = df.columns.index(html)
 
     def run(batches: Iterator) -> Iterator:
@@ -174,10 +173,9 @@ def main_text(df: DataFrame, html: str = "html") -> tuple[DataFrame, str]:
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                text = pa.array([extract(h) for h in batch.column(place).to_pylist()], type=pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, out])
+                yield extended(batch, pa.array([extract(h) for h in batch.column(place).to_pylist()], type=pa.string()))
 
-    return df.mapInArrow(run, schema), out
+    return map_arrow(df, run, [T.StructField(out, T.StringType())]), out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

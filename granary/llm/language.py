@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, fresh
+from .common import col, documents, extended, fresh, map_arrow
 
 #: Bounds of the sample: labelled rows of a language that train, and those among them that are landmarks.
 TRAIN_ROWS = 240
@@ -188,7 +188,6 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame
     through whatever their names; an empty table gives an empty table. Without training rows all is 'und'.
     """
     pred, score = fresh(df, "lang_pred", "score")
-    schema = T.StructType([*df.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
     place = df.columns.index(text)
 
     def run(batches: Iterator) -> Iterator:
@@ -198,9 +197,9 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame
             for start in range(0, whole.num_rows, 4 * BATCH):
                 batch = whole.slice(start, 4 * BATCH)
                 names, scores = model.predict(batch.column(place).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64())], names=[*batch.schema.names, pred, score])
+                yield extended(batch, pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()))
 
-    return df.mapInArrow(run, schema), pred, score
+    return map_arrow(df, run, [T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())]), pred, score
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
