@@ -59,7 +59,8 @@ def measured(df: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column]]:
     )
     # only texts with a window that occurs twice pay for the sort; equal hashes are compared word by word
     df = df.withColumn(s, F.when(F.size(F.array_distinct(g)) < F.size(g), F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
-    same = lambda x, y: (x["h"] == y["h"]) & (F.slice(F.col(w), x["i"] + 1, WINDOW) == F.slice(F.col(w), y["i"] + 1, WINDOW))
+    # word by word, as slicing an array copies all of it
+    same = lambda x, y: reduce(lambda a, b: a & b, [x["h"] == y["h"], *(F.get(F.col(w), x["i"] + k) == F.get(F.col(w), y["i"] + k) for k in range(WINDOW))])
     near = lambda x, j: F.coalesce(same(x, F.get(F.col(s), j)), F.lit(False))
     df = df.withColumn(d, F.sort_array(F.transform(F.filter(s, lambda x, i: near(x, i - 1) | near(x, i + 1)), lambda x: x["i"])))
     covered = F.aggregate(
@@ -104,21 +105,20 @@ def judge(df: DataFrame, text: str = "text", base: Sequence[Rule] = BASE_RULES,
     (out,) = fresh(df, "quality")
     plain = df.columns
     work, measures = measured(df, text)
-    work = work.select(*[col(c) for c in plain], F.struct(*[v.alias(k) for k, v in measures.items()]).alias(out))
+    # a filter moves below a projection only if that is deterministic; moved, it would measure each text anew for each rule
+    fence = F.monotonically_increasing_id().alias("row")
+    work = work.select(*[col(c) for c in plain], F.struct(*[v.alias(k) for k, v in measures.items()], fence).alias(out))
     at = lambda k: F.col(out)[k]
     named = lambda r: F.when(failed(r, at), F.lit(r.name))
     bad = F.array_compact(F.array(*[named(r) for r in (*base, *rules)]))
     basic = reduce(lambda a, b: a | b, [failed(r, at) for r in base], F.lit(False))
-    return work.withColumn(out, F.struct(*[at(k).alias(k) for k in measures], basic.alias("base_failed"), bad.alias("failed"), (F.size(bad) == 0).alias("kept"))), out
+    return work.withColumn(out, F.struct(*[at(k).alias(k) for k in measures], at("row").alias("row"), basic.alias("base_failed"), bad.alias("failed"), (F.size(bad) == 0).alias("kept"))), out
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of df that break no rule, with df's columns."""
     judged, q = judge(df, text)
-    (row,) = fresh(judged, "row")
-    # a filter moves below a projection only if that is deterministic; moved, it would measure each text anew for each rule
-    judged = judged.withColumn(row, F.monotonically_increasing_id())
-    return judged.filter(F.col(q)["kept"] & (F.col(row) >= 0)).select(*[col(c) for c in df.columns])
+    return judged.filter(F.col(q)["kept"]).select(*[col(c) for c in df.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
