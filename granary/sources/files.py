@@ -7,8 +7,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Form of a raw file's name. Fixed value.
 #: category[_yyyy-mm-dd]_yyyymmdd[_-]hhmmss[_n].extension
 NAME = r"^(.+?)(?:_(\d{4}-\d{2}-\d{2}))?_(\d{8}[_-]\d{6})(?:_\d+)?\.(html|pdf)$"
+# Column names of the feed. Fixed values.
 FEED_COLUMNS = ("dsc_ceasa", "dsc_produto", "sig_unidade_medida", "data_preco", "preco_diario")
 
 

@@ -90,9 +90,9 @@ def test_raw_files(spark, tmp_path):
 
 
 def test_feed(spark, tmp_path):
-    (tmp_path / "feed.csv").write_bytes("dsc_ceasa;dsc_produto;sig_unidade_medida;data_preco;preco_diario\nCEASA/PE - RECIFE;MAÇÃ;Kg;2026/10/28 00:00:00.000;10.50\n".encode("latin-1"))
+    (tmp_path / "feed.csv").write_bytes("dsc_ceasa;dsc_produto;sig_unidade_medida;data_preco;preco_diario\nMERCADO/PE - RECIFE;MAÇÃ;Kg;2026/10/28 00:00:00.000;10.50\n".encode("latin-1"))
     (r,) = files.feed_rows(files.read_feed(spark, str(tmp_path / "feed.csv"))).collect()
-    assert (r["market"], r["product"], r["unit"], r["day"], r["price"]) == ("ceasa pe recife", "maca", "KG", date(2026, 10, 28), D("10.5"))
+    assert (r["market"], r["product"], r["unit"], r["day"], r["price"]) == ("mercado pe recife", "maca", "KG", date(2026, 10, 28), D("10.5"))
     (tmp_path / "bad.csv").write_text("a;b\n1;2\n")
     with pytest.raises(ValueError):
         files.read_feed(spark, str(tmp_path / "bad.csv"))
