@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a given vocabulary, exact to the tokenizers library, by tree concatenation.
 
-White space ends every pre-token of the vocabularies used here, so a text is first cut at ASCII white space; what repeats is
-encoded once per worker and remembered. A long stretch without a cut is the leaf problem of a tree: it is halved down to
+Where the vocabulary drops white space, it ends every pre-token, so a text is first cut at ASCII white space; what repeats is
+encoded once per task and remembered. A long stretch without a cut is the leaf problem of a tree: it is halved down to
 leaves, the leaves are encoded together, and neighbours are joined. Around a join the tokens are wrong, so a window of text
 around it is encoded again and grown until its first tokens agree exactly with those of the left side and its last ones
 with those of the right side; from there on both sides stand, since a BPE encoding is right if every adjacent pair of it is.
@@ -25,8 +25,8 @@ LEAF = 2_048
 FIRST_WINDOW = 64
 #: Code points around a join in which agreement doesn't count: contractions and special tokens are shorter.
 MARGIN = 32
-#: Stretches that a worker remembers. They are at most REMEMBERED_CHARS long, so this bounds its memory.
-REMEMBERED = 200_000
+#: Stretches, and pre-tokens, that a task remembers. They are at most REMEMBERED_CHARS long, so this bounds its memory.
+REMEMBERED = 250_000
 REMEMBERED_CHARS = 64
 #: Rows that are put out at a time.
 SLICE = 256
@@ -113,12 +113,35 @@ def encode_long(tokenizer, text: str, leaf: int = LEAF) -> list[int]:
     return [t[0] for t in level[0]]
 
 
+#: Punctuation that ends a run of letters and is a pre-token of its own; none of it is part of a contraction or special token.
+TAIL = b".,;:!?&%$#*"
+
+
+def pre_tokens(stretch: bytes) -> tuple[bytes, ...]:
+    """A run of letters and the punctuation after it apart, as the vocabularies cut them; any other stretch whole.
+
+    ASCII letters come in lower case, as the normaliser makes them, so that The, the. and the share one encoding.
+    """
+    stem = stretch.rstrip(TAIL)
+    if stem.isalpha():
+        head = stem.lower()
+    elif stem and stem.decode().isalpha():
+        head = stem
+    else:
+        return (stretch,)
+    return (head, stretch[len(stem) :]) if len(stem) < len(stretch) else (head,)
+
+
 class Codec:
     """Encodes and decodes texts (as UTF-8), remembering stretches without ASCII white space."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.pieces: dict[bytes, tuple[bytes, bytes]] = {}
+        encode = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        #: Whether white space and letter case are dropped; if not, texts are one stretch each.
+        self.splits = encode("Ab c") == encode("ab") + encode("c") == encode("ab\n  c")
         #: Without a decoder the library joins tokens by a space, so decoded stretches can be joined likewise.
         self.plain = self.tokenizer.decoder is None
 
@@ -128,23 +151,27 @@ class Codec:
         return np.array(ids, dtype=np.int32).tobytes(), self.tokenizer.decode(ids, skip_special_tokens=False).encode() if self.plain and ids else b""
 
     def learn(self, texts: list[list[bytes]]) -> dict[bytes, tuple[bytes, bytes]]:
-        """What the given stretches encode to; short ones are remembered."""
-        new = list({w for ws in texts for w in ws if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
+        """What the given stretches encode to; short ones are remembered, and so are the pre-tokens that they are cut into."""
+        if len(self.known) > REMEMBERED:
             self.known = {}
-            new = list({w for ws in texts for w in ws})
-        short = [w.decode() for w in new if len(w) <= LEAF]
-        found = dict(zip((w for w in new if len(w) <= LEAF), (self.stretch(e.ids) for e in self.tokenizer.encode_batch_fast(short, add_special_tokens=False)), strict=True))
-        for w in new:
-            if len(w) > LEAF:
-                found[w] = self.stretch(encode_long(self.tokenizer, w.decode()))
-        kept = {w: v for w, v in found.items() if len(w) <= REMEMBERED_CHARS}
-        self.known.update(kept)
-        return found
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {}
+        cut = {w: pre_tokens(w) if self.plain and self.splits else (w,) for ws in texts for w in ws if w not in self.known}
+        new = list({p for ps in cut.values() for p in ps if p not in self.pieces})
+        short = [p for p in new if len(p) <= LEAF]
+        found = dict(zip(short, (self.stretch(e.ids) for e in self.tokenizer.encode_batch_fast([p.decode() for p in short], add_special_tokens=False)), strict=True))
+        found.update((p, self.stretch(encode_long(self.tokenizer, p.decode()))) for p in new if len(p) > LEAF)
+        out = {}
+        for w, ps in cut.items():
+            got = [self.pieces.get(p) or found[p] for p in ps]
+            out[w] = got[0] if len(got) == 1 else (b"".join([g[0] for g in got]), b" ".join([g[1] for g in got if g[0]]))
+        self.pieces.update((p, v) for p, v in found.items() if len(p) <= REMEMBERED_CHARS)
+        self.known.update((w, v) for w, v in out.items() if len(w) <= REMEMBERED_CHARS)
+        return out
 
     def batch(self, texts: list[bytes | None]) -> list[tuple[bytes, str]]:
         """(ids as int32 bytes, decoded text) of each."""
-        split = [(t or b"").split() for t in texts]
+        split = [(t or b"").split() if self.splits else [t] if t else [] for t in texts]
         found = self.learn(split)
         known = self.known
         out = []
