@@ -42,12 +42,25 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+#: Rows of a batch between Spark and Python at most. Texts are long, and both sides hold a batch or two for each task.
+ARROW_ROWS = 500
+
+
+def lean(spark: SparkSession) -> None:
+    """Bounds the batches that the session's Python stages take; Spark's default of 10,000 rows is made for narrow ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df written to the folder of spark.checkpoint.dir, so that losing an executor loses no rows.
 
     The setting is read from the session; only where it is unset (tests on one machine) a temporary folder is used.
     """
     spark = df.sparkSession
+    lean(spark)
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="granary-checkpoint-"))
     return df.checkpoint()
@@ -58,6 +71,7 @@ def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequenc
 
     Columns travel under plain names, as Spark can't pass on names with dots; names renames the result (df's and the added).
     """
+    lean(df.sparkSession)
     plain = [f"c{i}" for i in range(len(df.columns))]
     fields = [T.StructField(n, f.dataType) for n, f in zip(plain, df.schema.fields, strict=True)]
     new = [T.StructField(f"a{i}", f.dataType) for i, f in enumerate(added)]

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import col, documents
+from .common import col, documents, lean
 
 # Notices of licence families. Fixed values.
 TEMPLATES = {
@@ -193,6 +193,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", model: Model |
     table; other columns are ignored.
     """
     model = model or train()
+    lean(df.sparkSession)
     base = df.select(col(key), col(text))
     schema = T.StructType([base.schema.fields[0], T.StructField("paragraph", T.LongType()), T.StructField("family", T.StringType()), T.StructField("probability", T.DoubleType()), T.StructField("similarity", T.DoubleType()), T.StructField("paragraph_text", T.StringType())])
 
