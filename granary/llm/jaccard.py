@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, durable
+from .common import col, documents, durable, fresh
 from .components import components
 from .shingles import many, shingle_hashes
 
@@ -31,6 +31,8 @@ SMALL = 32
 CHUNK = 512
 #: Id lists of up to so many rows are broadcast to filter texts (16 bytes each); longer ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: The same for lists of ids with hashes of texts (some 100 bytes each).
+BROADCAST_MARKS = 150_000
 SEED = 11
 #: Stands for a null key.
 NULL = -(2**63)
@@ -76,27 +78,27 @@ def _batches(batches: Iterator) -> Iterator:
     for whole in batches:
         for start in range(0, whole.num_rows, ROWS):
             batch = whole.slice(start, ROWS)
-            yield batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
+            yield batch.column(0), batch.column(1).cast(pa.binary()).to_pylist(), *batch.columns[2:]
 
 
 def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """id, n (shingles), whole (128-bit hash of the set in hex), keys (one per band); rows without words have n 0."""
+    """id, mark (hash of the text), n (shingles), whole (128-bit hash of the set in hex), keys (one per band); rows without words have n 0."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import xxhash
 
-        for ids, texts in _batches(batches):
+        for ids, texts, marks in _batches(batches):
             sets = sets_of(texts)
             full = [s for s in sets if len(s)]
             keys = sketches(full, bands, rows).ravel() if full else np.zeros(0, dtype=np.int64)
             ends = np.cumsum([0] + [bands * (len(s) > 0) for s in sets]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], type=pa.int64()), pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], type=pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))],
-                names=["id", "n", "whole", "keys"],
+                [ids, marks, pa.array([len(s) for s in sets], type=pa.int64()), pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], type=pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))],
+                names=["id", "mark", "n", "whole", "keys"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, whole string, keys array<long>")
+    return docs.select("id", "text", F.md5("text").alias("mark")).mapInArrow(run, "id long, mark string, n long, whole string, keys array<long>")
 
 
 def only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -175,6 +177,16 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     each other; rows that repeat a key with other texts get the class of their own text. An empty table gives an empty table;
     other columns are ignored.
     """
+    out = members(df, key, text, threshold)
+    back = lambda c: F.nullif(F.coalesce(c, F.col("id")), F.lit(NULL))
+    return out.select(F.nullif("id", F.lit(NULL)).alias(key), back(F.col("rep")).alias("copy_of"), back(F.col("class")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def members(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """For each row: id, mark (together they tell rows apart), rep, class, n_links, and group, which is one for each class.
+
+    Classes of different texts may have the same least key, where keys repeat or are null. Rows without words have no group.
+    """
     bands, rows = bands_for(threshold)
     docs = df.select(F.coalesce(col(key).cast("long"), F.lit(NULL)).alias("id"), col(text).alias("text"))
     light = durable(sketched(docs, bands, rows))
@@ -216,10 +228,8 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     owner = found.join(named.select(F.col("node").alias("id"), "rep"), "id")
     least = owner.groupBy("root").agg(F.min("rep").alias("class"))
     known = named.join(links, "node", "left").join(found.select(F.col("id").alias("node"), "root"), "node", "left").join(least, "root", "left")
-    known = known.select("whole", "rep", F.coalesce("class", "rep").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = light.select("id", "whole").join(known, "whole", "left")
-    back = lambda c: F.nullif(F.coalesce(c, F.col("id")), F.lit(NULL))
-    return out.select(F.nullif("id", F.lit(NULL)).alias(key), back(F.col("rep")).alias("copy_of"), back(F.col("class")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    known = known.select("whole", "rep", F.coalesce("class", "rep").alias("class"), F.coalesce("root", "node").alias("group"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return light.select("id", "mark", "whole").join(known, "whole", "left").select("id", "mark", "rep", "class", "n_links", "group")
 
 
 def shingled(docs: DataFrame) -> DataFrame:
@@ -237,23 +247,23 @@ def shingled(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """df without the rows whose class holds a smaller key; of rows that repeat a key within a class one stays."""
-    found = durable(classes(df, key, text, threshold).select(F.coalesce(col(key).cast("long"), F.lit(NULL)).alias("id"), F.coalesce("class_id", F.lit(NULL)).alias("class"), F.col("copy_of")))
-    gone = found.filter("id != class").select("id")
-    names = df.columns
-    place = "__id"
-    while place in names:
-        place = f"_{place}"
-    rows = df.withColumn(place, F.coalesce(col(key).cast("long"), F.lit(NULL)))
-    ids = gone.distinct()
-    broadcast = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    ids = ids.withColumnRenamed("id", place)
-    rows = rows.join(F.broadcast(ids) if broadcast else ids, place, "left_anti")
-    again = found.groupBy("id").count().filter("count > 1").select(F.col("id").alias(place))
+    """df with one row of each class, one that has its least key; rows without words are in no class and stay.
+
+    Rows are told apart by key and text, so other texts of a key that repeats, or is null, stay or go by their own class.
+    """
+    found = durable(members(df, key, text, threshold).filter("group is not null").select("id", "mark", "group"))
+    row = F.struct("id", "mark")
+    kept = durable(found.groupBy("group").agg(F.min(row).alias("first"), F.max(row).alias("last"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
+    gone = found.join(kept.filter("first != last").select("group", "first"), "group").filter(row != F.col("first")).select("id", "mark").distinct()
+    place, mark = fresh(df, "id", "mark")
+    rows = df.withColumn(place, F.coalesce(col(key).cast("long"), F.lit(NULL))).withColumn(mark, F.md5(col(text)))
+    listed = lambda x: (F.broadcast(x) if x.limit(BROADCAST_MARKS + 1).count() <= BROADCAST_MARKS else x).toDF(place, mark)
+    rows = rows.join(listed(durable(gone)), [place, mark], "left_anti")
+    again = durable(found.join(kept.select("group", "first"), "group").filter(row == F.col("first")).groupBy("id", "mark").count().filter("count > 1").select("id", "mark"))
     if not again.isEmpty():
-        twice = rows.join(again, place, "left_semi").dropDuplicates([place])
-        rows = rows.join(again, place, "left_anti").unionByName(twice)
-    return rows.select(*[col(c) for c in names])
+        twice = rows.join(listed(again), [place, mark], "left_semi").dropDuplicates([place, mark])
+        rows = rows.join(listed(again), [place, mark], "left_anti").unionByName(twice)
+    return rows.select(*[col(c) for c in df.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

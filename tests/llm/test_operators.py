@@ -338,6 +338,17 @@ def test_jaccard_odd(odd, none):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8, 9]
 
 
+def test_one_of_each_tells_rows_apart(spark):
+    rng = random.Random(5)
+    some = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(120))
+    a, b, c, d, e = (some() for _ in range(5))
+    near = " ".join([*a.split()[:-1], "other"])
+    rows = [(None, a), (None, b), (None, b), (None, c), (4, near), (4, d), (5, d), (5, e), (5, e), (6, None), (6, "")]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, a), (None, b), (None, c), (4, d), (5, e), (6, None), (6, "")]
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, want))
+
+
 def test_bands():
     bands, rows = jaccard.bands_for(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999
@@ -410,3 +421,18 @@ def test_without_repeats(spark, none, odd):
     assert [got[d]["text"] for d in (1, 3, 4, 5)] == [dict(rows)[d] for d in (1, 3, 4, 5)]
     assert passages.without_repeats(odd).columns == odd.columns and passages.without_repeats(odd).count() == len(ODD)
     assert passages.repeats(none).count() == 0
+
+
+def made_words(seed):
+    rng = random.Random(seed)
+    return lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+
+def test_passages_tell_rows_apart(spark):
+    own = made_words(3)
+    a, b, passage = own(120), own(120), own(60)
+    two = [*b[:50], *passage, *b[50:]]
+    rows = [(1, " ".join([*a, *passage])), (2, " ".join([*a, *passage])), (2, " ".join(two)), (2, " ".join(own(90))), (None, " ".join(own(80))), (None, " ".join(own(80)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["text"] for r in passages.without_repeats(frame).collect())
+    assert got == sorted([rows[0][1], "", " ".join(b), *(t for _, t in rows[3:])])
