@@ -436,3 +436,42 @@ def test_passages_tell_rows_apart(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(r["text"] for r in passages.without_repeats(frame).collect())
     assert got == sorted([rows[0][1], "", " ".join(b), *(t for _, t in rows[3:])])
+
+
+def brute_alike(a, b):
+    """Whether two lists of words are alike as sets of shingles."""
+    x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) >= 0.8 * len(x | y)
+
+
+def test_passages_with_words_put_in_or_left_out(spark):
+    own = made_words(9)
+    rows, want = [], {}
+    for n in range(24):
+        passage = own(60 + 10 * (n % 3))
+        other = passage[:]
+        at = len(other) // 2
+        if n % 4 == 0:
+            other.insert(at, "inserted")
+        elif n % 4 == 1:
+            del other[at]
+        elif n % 4 == 2:
+            other[at] = "replaced"
+        else:
+            other[at:at] = ["two", "more"]
+        assert brute_alike(passage, other)
+        before = own(5 + n)
+        rows += [(n, " ".join([*own(40), *passage, *own(30)])), (100 + n, " ".join([*before, *other, *own(20)]))]
+        want[100 + n] = (len(before), len(other), n)
+    got = {r["doc_id"]: (r["first_word"], r["n_words"], r["of_doc_id"]) for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got.get(i) == w for i, w in want.items()) >= 0.75 * len(want)
+
+
+def test_alike_stretches():
+    rng = np.random.default_rng(4)
+    new = lambda n: rng.integers(0, 2**32, n).astype(np.uint32)
+    a = new(100)
+    for b, want in ((a, [(0, 99, 0, 1.0)]), (np.concatenate([new(7), a[:50], new(5), a[54:]]), [(0, 99, 7, 96 / 105)]), (np.concatenate([a[:50], new(40), a[50:]]), [(0, 49, 0, 1.0), (50, 99, 90, 1.0)]), (new(100), [])):
+        assert passages.alike_stretches(a, b, 46, 0.8) == want
+    same = np.zeros(3000, dtype=np.uint32)
+    assert passages.alike_stretches(same, same, 46, 0.8) == [(0, 2999, 0, 1.0)]
