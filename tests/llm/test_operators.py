@@ -475,3 +475,14 @@ def test_alike_stretches():
         assert passages.alike_stretches(a, b, 46, 0.8) == want
     same = np.zeros(3000, dtype=np.uint32)
     assert passages.alike_stretches(same, same, 46, 0.8) == [(0, 2999, 0, 1.0)]
+
+
+def test_passages_inside_one_of_another_text(spark):
+    own = made_words(12)
+    inner = own(70)
+    outer = [*own(30), *inner, *own(30)]
+    near = outer[:]
+    near[15] = near[115] = "other"
+    rows = [(1, " ".join([*own(40), *inner, *own(40)])), (2, " ".join([*own(60), *outer])), (3, " ".join([*own(20), *near, *own(20)]))]
+    got = {(r["doc_id"], r["of_doc_id"], r["first_word"], r["n_words"]) for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(2, 1, 90, 70), (3, 1, 50, 70), (3, 2, 20, 130)}
