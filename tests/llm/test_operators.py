@@ -473,6 +473,8 @@ def test_alike_stretches():
     a = new(100)
     for b, want in ((a, [(0, 99, 0, 1.0)]), (np.concatenate([new(7), a[:50], new(5), a[54:]]), [(0, 99, 7, 96 / 105)]), (np.concatenate([a[:50], new(40), a[50:]]), [(0, 49, 0, 1.0), (50, 99, 90, 1.0)]), (new(100), [])):
         assert passages.alike_stretches(a, b, 46, 0.8) == want
+    twice = np.concatenate([a, new(30), a[20:80]])
+    assert passages.alike_stretches(twice, a, 46, 0.8, (0, 110)) == [(0, 99, 0, 1.0), (130, 189, 20, 1.0)]
     same = np.zeros(3000, dtype=np.uint32)
     assert passages.alike_stretches(same, same, 46, 0.8) == [(0, 2999, 0, 1.0)]
 
@@ -486,3 +488,20 @@ def test_passages_inside_one_of_another_text(spark):
     rows = [(1, " ".join([*own(40), *inner, *own(40)])), (2, " ".join([*own(60), *outer])), (3, " ".join([*own(20), *near, *own(20)]))]
     got = {(r["doc_id"], r["of_doc_id"], r["first_word"], r["n_words"]) for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(2, 1, 90, 70), (3, 1, 50, 70), (3, 2, 20, 130)}
+
+
+def test_passages_whose_shingles_an_earlier_text_holds(spark):
+    own = made_words(21)
+    rows, want = [], {}
+    for n in range(6):
+        passage = own(60)
+        near = passage[:]
+        if n % 2:
+            near[30] = "other"
+        # all shingles of the passage are in smaller texts, though no 50 words in a row; some groups are small and some large
+        for k in range(1 if n < 3 else 30):
+            rows.append((100 * n + k, " ".join([*own(30), *passage[:45], *own(50), *passage[15:], *own(30)])))
+        rows += [(100 * n + 50, " ".join([*own(40), *passage, *own(40)])), (100 * n + 51, " ".join([*own(20), *near, *own(60)]))]
+        want[100 * n + 51] = (20, 60, 100 * n + 50)
+    got = {(r["doc_id"], r["of_doc_id"]): (r["first_word"], r["n_words"], r["of_doc_id"]) for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got.get((i, w[2])) for i, w in want.items()} == want
