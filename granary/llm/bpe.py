@@ -1,35 +1,38 @@
 """BPE encoding and decoding with a given vocabulary, exact to the tokenizers library, by tree concatenation.
 
-Where the vocabulary drops white space, it ends every pre-token, so a text is first cut at ASCII white space; what repeats is
-encoded once per task and remembered. A long stretch without a cut is the leaf problem of a tree: it is halved down to
-leaves, the leaves are encoded together, and neighbours are joined. Around a join the tokens are wrong, so a window of text
-around it is encoded again and grown until its first tokens agree exactly with those of the left side and its last ones
-with those of the right side; from there on both sides stand, since a BPE encoding is right if every adjacent pair of it is.
+A text is halved, whatever its white space, down to leaves. The leaves of a batch are encoded together; where the vocabulary
+drops white space, a leaf is a row of words and the words that a task has met are remembered. Then neighbours are joined, level
+by level. Around a join the tokens are wrong, so a window of text around it is encoded again and grown until its first
+tokens agree exactly with those of the left side and its last ones with those of the right side; from there on both sides
+stand, since a BPE encoding is right if every adjacent pair of it is. The upper halves of very long texts go to several tasks,
+and their joins to one task a text.
 """
 
 from __future__ import annotations
 
 import os
-from bisect import bisect_left
+import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import col, documents, extended, fresh, map_arrow
 
-#: Code points of a leaf of the tree; longer stretches without white space are halved.
+#: Bytes of a leaf of the tree; longer texts are halved.
 LEAF = 2_048
+#: Bytes up to which a text is encoded by one task; the halves of a longer one are dealt to several.
+SPREAD = 1 << 20
 #: Tokens of each side in the first window around a join.
-FIRST_WINDOW = 64
-#: Code points around a join in which agreement doesn't count: contractions and special tokens are shorter.
+FIRST_WINDOW = 16
+#: Bytes around a join in which agreement doesn't count: contractions and special tokens are shorter.
 MARGIN = 32
-#: Stretches, and pre-tokens, that a task remembers. They are at most REMEMBERED_CHARS long, so this bounds its memory.
-REMEMBERED = 250_000
-REMEMBERED_CHARS = 64
-#: Rows that are put out at a time.
-SLICE = 256
+#: Bytes of words that a task remembers before it forgets them all (a batch may add up to twice its own).
+REMEMBERED = 16 << 20
+#: Bytes of text that are encoded at a time (one text at least).
+SLICE_BYTES = 1 << 20
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -49,150 +52,350 @@ def load(path: str):
     return tokenizer
 
 
-Tokens = list[tuple[int, int, int]]
+def runs_from(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... counts[0] of them, then the same of the next."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
-def _encode(tokenizer, texts: list[str], shift: list[int]) -> list[Tokens]:
-    found = tokenizer.encode_batch(texts, add_special_tokens=False)
-    return [[(i, a + s, b + s) for i, (a, b) in zip(e.ids, e.offsets, strict=True)] for e, s in zip(found, shift, strict=True)]
-
-
-def _agree(window: Tokens, side: Tokens, low: int, high: int) -> tuple[int, int] | None:
-    """Positions in window and side of the first token that both have, with ends within low and high.
-
-    Tokens that share their characters with a neighbour (parts of one character) don't count.
-    """
-    of = {t: k for k, t in enumerate(side)}
-    for k, t in enumerate(window):
-        alone = all(window[j][1:] != t[1:] for j in (k - 1, k + 1) if 0 <= j < len(window))
-        if alone and low <= t[1] < t[2] <= high and t in of:
-            return k, of[t]
-    return None
-
-
-def join(tokenizer, text: str, left: Tokens, right: Tokens, start: int, cut: int, end: int) -> Tokens:
-    """The encoding of text[start:end], whose parts before and after cut encode to left and right."""
-    size = FIRST_WINDOW
-    while True:
-        all_left, all_right = size >= len(left), size >= len(right)
-        a = start if all_left else left[-size][1]
-        b = end if all_right else right[size - 1][2]
-        (window,) = _encode(tokenizer, [text[a:b]], [a])
-        first = (0, 0) if all_left else _agree(window, left[-size:], a, cut - MARGIN)
-        back = (0, 0) if all_right else _agree(window[::-1], right[:size], cut + MARGIN, b)
-        if first and back:
-            head = [] if all_left else left[: len(left) - size + first[1]]
-            middle = window[first[0] :] if all_right else window[first[0] : len(window) - 1 - back[0]]
-            return head + middle + ([] if all_right else right[back[1] :])
-        size *= 2
-
-
-def cuts(text: str, start: int, end: int, leaf: int) -> list[int]:
-    """Where halving cuts text[start:end] until no piece is longer than leaf, never before a combining mark."""
-    import unicodedata
-
+def cuts(data: bytes, start: int, end: int, leaf: int) -> list[int]:
+    """Where halving cuts data[start:end] until no piece is longer than leaf; never inside a character or before one that combines."""
     if end - start <= leaf:
         return []
     mid = (start + end) // 2
-    while mid < end and (unicodedata.combining(text[mid]) or unicodedata.normalize("NFC", text[mid - 1] + text[mid]) != text[mid - 1 : mid + 1]):
+    while mid < end and not _free(data, mid):
         mid += 1
     if mid >= end:
         return []
-    return [*cuts(text, start, mid, leaf), mid, *cuts(text, mid, end, leaf)]
+    return [*cuts(data, start, mid, leaf), mid, *cuts(data, mid, end, leaf)]
 
 
-def encode_long(tokenizer, text: str, leaf: int = LEAF) -> list[int]:
-    """Token ids of a text by the tree; equal to tokenizer.encode(text, add_special_tokens=False).ids."""
-    at = [0, *cuts(text, 0, len(text), leaf), len(text)]
-    level = _encode(tokenizer, [text[a:b] for a, b in zip(at, at[1:])], at[:-1])
-    while len(level) > 1:
-        pairs = range(0, len(level) - 1, 2)
-        odd = level[len(level) - len(level) % 2 :]
-        level = [join(tokenizer, text, level[k], level[k + 1], at[k], at[k + 1], at[k + 2]) for k in pairs] + odd
-        at = [*[at[k] for k in pairs], *([at[-2]] if odd else []), at[-1]]
-    return [t[0] for t in level[0]]
+def _free(data: bytes, at: int) -> bool:
+    """Whether the text may be cut at that byte."""
+    if data[at] < 128:
+        return True
+    if data[at] & 0xC0 == 0x80:
+        return False
+    before = data[max(0, at - 4) : at].decode(errors="ignore")[-1:]
+    after = data[at : at + 4].decode(errors="ignore")[:1]
+    return not unicodedata.combining(after) and unicodedata.normalize("NFC", before + after) == before + after
 
 
 #: Punctuation that ends a run of letters and is a pre-token of its own; none of it is part of a contraction or special token.
 TAIL = b".,;:!?&%$#*"
 
 
-def pre_tokens(stretch: bytes) -> tuple[bytes, ...]:
-    """A run of letters and the punctuation after it apart, as the vocabularies cut them; any other stretch whole.
+def pre_tokens(word: bytes) -> tuple[bytes, ...]:
+    """A run of letters and the punctuation after it apart, as the vocabularies cut them; any other word whole.
 
     ASCII letters come in lower case, as the normaliser makes them, so that The, the. and the share one encoding.
     """
-    stem = stretch.rstrip(TAIL)
+    stem = word.rstrip(TAIL)
     if stem.isalpha():
         head = stem.lower()
     elif stem and stem.decode().isalpha():
         head = stem
     else:
-        return (stretch,)
-    return (head, stretch[len(stem) :]) if len(stem) < len(stretch) else (head,)
+        return (word,)
+    return (head, word[len(stem) :]) if len(stem) < len(word) else (head,)
+
+
+class Growing:
+    """An array of rows that columns are added to."""
+
+    def __init__(self, rows: int):
+        self.data, self.n = np.zeros((rows, 1024), dtype=np.int64), 0
+
+    def add(self, more: np.ndarray) -> None:
+        need = self.n + more.shape[1]
+        if need > self.data.shape[1]:
+            self.data = np.concatenate([self.data[:, : self.n], np.zeros((len(self.data), 2 * need - self.n), dtype=np.int64)], axis=1)
+        self.data[:, self.n : need] = more
+        self.n = need
+
+
+#: Token ids, and the first byte and the byte after the last of what they stand for: an array of three rows.
+Tokens = np.ndarray
+NONE = np.zeros((3, 0), dtype=np.int64)
+
+
+class Side:
+    """The tokens of a part of a text, in blocks, so that a join only touches those next to it."""
+
+    def __init__(self, start: int, end: int, blocks: list[Tokens]):
+        self.start, self.end, self.blocks = start, end, blocks
+        self.n = sum(b.shape[1] for b in blocks)
+
+    def last(self, n: int) -> Tokens:
+        out: list[Tokens] = []
+        for b in reversed(self.blocks):
+            if n <= 0:
+                break
+            out.append(b[:, max(0, b.shape[1] - n) :])
+            n -= b.shape[1]
+        return np.concatenate(out[::-1], axis=1) if out else NONE
+
+    def first(self, n: int) -> Tokens:
+        out: list[Tokens] = []
+        for b in self.blocks:
+            if n <= 0:
+                break
+            out.append(b[:, :n])
+            n -= b.shape[1]
+        return np.concatenate(out, axis=1) if out else NONE
+
+    def without(self, first: int, last: int) -> list[Tokens]:
+        """The blocks without so many first and last tokens."""
+        out = []
+        at = 0
+        for b in self.blocks:
+            low, high = max(0, first - at), min(b.shape[1], self.n - last - at)
+            at += b.shape[1]
+            if high > low:
+                out.append(b[:, low:high])
+        return out
+
+
+def _agree(window: list[tuple], side: list[tuple], low: int, high: int) -> tuple[int, int] | None:
+    """Positions in window and side of the first token that both have, with ends within low and high.
+
+    Tokens that share their characters with a neighbour (parts of one character) don't count.
+    """
+    of = {t: k for k, t in enumerate(side)}
+    for k, t in enumerate(window):
+        if low <= t[1] < t[2] <= high and t in of and all(window[j][1:] != t[1:] for j in (k - 1, k + 1) if 0 <= j < len(window)):
+            return k, of[t]
+    return None
 
 
 class Codec:
-    """Encodes and decodes texts (as UTF-8), remembering stretches without ASCII white space."""
+    """Encodes and decodes texts (as UTF-8), remembering words."""
 
-    def __init__(self, path: str):
-        self.tokenizer = load(path)
-        self.known: dict[bytes, tuple[bytes, bytes]] = {}
-        self.pieces: dict[bytes, tuple[bytes, bytes]] = {}
+    def __init__(self, path: str, leaf: int = LEAF):
+        self.tokenizer, self.leaf = load(path), leaf
         encode = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        #: Whether white space and letter case are dropped; if not, texts are one stretch each.
-        self.splits = encode("Ab c") == encode("ab") + encode("c") == encode("ab\n  c")
-        #: Without a decoder the library joins tokens by a space, so decoded stretches can be joined likewise.
+        #: Whether white space and letter case are dropped; if not, a leaf is one word.
+        #: Without a decoder the library joins tokens by a space, so decoded texts can be put together from a table.
         self.plain = self.tokenizer.decoder is None
+        self.splits = self.plain and encode("Ab c") == encode("ab") + encode("c") == encode("ab\n  c")
+        if self.plain:
+            names = {i: t.encode() + b" " for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+            size = np.array([len(names.get(i, b"")) for i in range(max(names) + 1)], dtype=np.int64)
+            self.name_bytes = np.frombuffer(b"".join(names[i] for i in sorted(names)), dtype=np.uint8)
+            self.name_size, self.name_start = size, np.cumsum(size) - size
+            #: Bytes that a token of ASCII stands for: a character each, without the mark of a word's end.
+            self.name_covers = np.array([len(t.decode().rstrip(" ").removesuffix(self.tokenizer.model.end_of_word_suffix or "")) for t in (names.get(i, b"") for i in range(len(size)))], dtype=np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.pieces: dict[bytes, int] = {}
+        self.held = 0
+        #: Of each word: its first and second pre-token (or -1), and where the second begins.
+        self.words = Growing(3)
+        #: Of each pre-token: where its tokens begin, and their number.
+        self.places = Growing(2)
+        self.tokens = Growing(3)
+
+    # --- leaves ---
+
+    def located(self, texts: list[bytes], shift: list[int]) -> list[Tokens]:
+        """The library's tokens of each text, as bytes from shift on."""
+        if not texts:
+            return []
+        found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+        ids = [e.ids for e in found]
+        counts = np.array([len(i) for i in ids], dtype=np.int64)
+        out = np.empty((3, counts.sum()), dtype=np.int64)
+        out[0] = [i for row in ids for i in row]
+        offsets = np.array([x for e in found for x in e.offsets], dtype=np.int64).reshape(-1, 2).T
+        # characters to bytes: the starts of all characters, one text after the other, and where each text's begin
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        begin = np.cumsum(size) - size
+        chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        first = np.searchsorted(chars, begin)
+        out[1:] = chars[offsets + np.repeat(first, counts)] + np.repeat(np.array(shift, dtype=np.int64) - begin, counts)
+        return np.split(out, np.cumsum(counts)[:-1], axis=1)
+
+    def learn(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word; those not met yet are encoded, together."""
+        if self.held > REMEMBERED:
+            self.forget()
+        index, pieces, asked, made = self.index, self.pieces, [], []
+        for w in words:
+            if w not in index:
+                index[w] = len(index)
+                numbers = []
+                for p in pre_tokens(w):
+                    if p not in pieces:
+                        pieces[p] = len(pieces)
+                        asked.append(p)
+                    numbers.append(pieces[p])
+                made.append((numbers[0], numbers[1] if len(numbers) > 1 else -1, len(w) - len(p)))
+                self.held += 2 * len(w)
+        if made:
+            self.words.add(np.array(made, dtype=np.int64).T)
+            found, counts = self.pretokens(asked)
+            self.places.add(np.stack([self.tokens.n + np.cumsum(counts) - counts, counts]))
+            self.tokens.add(found)
+        return np.array([index[w] for w in words], dtype=np.int64)
+
+    def pretokens(self, asked: list[bytes]) -> tuple[Tokens, np.ndarray]:
+        """(tokens of all, number of each) of pre-tokens, as bytes from their own start on."""
+        rows = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in asked], add_special_tokens=False)]
+        counts = np.array([len(r) for r in rows], dtype=np.int64)
+        ids = np.array([i for r in rows for i in r], dtype=np.int64)
+        # tokens of ASCII follow one another byte by byte; where characters change, the library tells
+        out = np.zeros((3, len(ids)), dtype=np.int64)
+        out[0] = ids
+        size = self.name_covers[ids]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ends = np.cumsum(counts)
+        out[2] = upto[1:] - np.repeat(upto[ends - counts], counts)
+        out[1] = out[2] - size
+        length = np.array([len(p) for p in asked], dtype=np.int64)
+        odd = np.flatnonzero((upto[ends] - upto[ends - counts] != length) | ~np.array([p.isascii() for p in asked], dtype=bool))
+        if len(odd):
+            at = runs_from((ends - counts)[odd], counts[odd])
+            out[:, at] = np.concatenate(self.located([asked[k] for k in odd.tolist()], [0] * len(odd)), axis=1)
+        return out, counts
+
+    def leaves(self, data: bytes, bounds: np.ndarray) -> tuple[Tokens, np.ndarray]:
+        """(tokens of all leaves, where each leaf's end) of the leaves data[bounds[k]:bounds[k + 1]]."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        size = np.diff(bounds)
+        if self.splits:
+            space = np.isin(np.frombuffer(data, dtype=np.uint8), np.frombuffer(b" \t\n\x0b\x0c\r", dtype=np.uint8))
+            first = ~space
+            first[1:] &= space[:-1]
+            edge = bounds[:-1][size > 0]
+            first[edge] = ~space[edge]
+            starts = np.flatnonzero(first)
+            rows = pa.Array.from_buffers(pa.utf8(), len(size), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+            words = pc.ascii_split_whitespace(rows).flatten()
+            words = words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary()).dictionary_encode()
+            number = self.learn(words.dictionary.to_pylist())
+            both = self.words.data[:, number[words.indices.to_numpy()]]
+            piece = both[:2].T.ravel()
+            begin = np.stack([starts, starts + both[2]], axis=1).ravel()[piece >= 0]
+            place, counts = self.places.data[:, piece[piece >= 0]]
+            tokens = self.tokens.data[:, runs_from(place, counts)]
+            tokens[1:] += np.repeat(begin, counts)
+            return tokens, np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(begin, bounds[1:])]
+        found = self.located([data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], bounds[:-1].tolist())
+        return (np.concatenate(found, axis=1) if found else NONE), np.cumsum([t.shape[1] for t in found])
+
+    # --- joins ---
+
+    def join(self, data: bytes, pairs: list[tuple[Side, Side]]) -> list[Side]:
+        """The tokens of neighbouring parts of texts as one part each; their windows are encoded together."""
+        out: list[Side | None] = [None] * len(pairs)
+        todo, size = list(range(len(pairs))), FIRST_WINDOW
+        while todo:
+            tails = [pairs[k][0].last(size) for k in todo]
+            heads = [pairs[k][1].first(size) for k in todo]
+            spans = []
+            for k, tail, head in zip(todo, tails, heads, strict=True):
+                left, right = pairs[k]
+                spans.append((left.start if size >= left.n else int(tail[1, 0]), right.end if size >= right.n else int(head[2, -1])))
+            windows = self.located([data[a:b] for a, b in spans], [a for a, _ in spans])
+            again = []
+            for k, tail, head, (a, b), window in zip(todo, tails, heads, spans, windows, strict=True):
+                left, right = pairs[k]
+                cut = left.end
+                listed = list(zip(*window.tolist(), strict=True))
+                all_left, all_right = size >= left.n, size >= right.n
+                first = (0, 0) if all_left else _agree(listed, list(zip(*tail.tolist(), strict=True)), a, cut - MARGIN)
+                back = (0, 0) if all_right else _agree(listed[::-1], list(zip(*head.tolist(), strict=True)), cut + MARGIN, b)
+                if first is None or back is None or (not all_left and not all_right and first[0] >= window.shape[1] - 1 - back[0]):
+                    again.append(k)
+                    continue
+                middle = window[:, first[0] : window.shape[1] if all_right else window.shape[1] - 1 - back[0]]
+                blocks = [] if all_left else left.without(0, tail.shape[1] - first[1])
+                out[k] = Side(left.start, right.end, [*blocks, middle, *([] if all_right else right.without(back[1], 0))])
+            todo, size = again, 2 * size
+        return out  # type: ignore[return-value]
+
+    def joined(self, data: bytes, rows: list[list[Side]]) -> list[Side]:
+        """One part from the neighbouring parts of each text, in a tree; the joins of a level are made together."""
+        rows = [r[:] for r in rows]
+        while any(len(r) > 1 for r in rows):
+            made = iter(self.join(data, [(r[k], r[k + 1]) for r in rows for k in range(0, len(r) - 1, 2)]))
+            rows = [[next(made) if k + 1 < len(r) else r[k] for k in range(0, len(r), 2)] for r in rows]
+        return [r[0] for r in rows]
+
+    def encoded(self, data: bytes, ends: list[int]) -> list[Side]:
+        """The tokens of each of the texts that stand one after the other in data and end there."""
+        at = [0, *ends]
+        inner = [cuts(data, a, b, self.leaf) if b - a > self.leaf else [] for a, b in zip(at, at[1:])]
+        bounds = np.array([0, *(x for c, e in zip(inner, ends, strict=True) for x in (*c, e))], dtype=np.int64)
+        tokens, upto = self.leaves(data, bounds)
+        edges, sides, k = [0, *upto.tolist()], [], 0
+        for c in inner:
+            sides.append([Side(int(bounds[j]), int(bounds[j + 1]), [tokens[:, edges[j] : edges[j + 1]]]) for j in range(k, k + len(c) + 1)])
+            k += len(c) + 1
+        return self.joined(data, sides)
+
+    # --- results ---
+
+    def decoded(self, ids: np.ndarray, counts: np.ndarray):
+        """The decoded texts of rows of so many ids each, as an Arrow array."""
+        import pyarrow as pa
 
-    def stretch(self, ids: list[int]) -> tuple[bytes, bytes]:
-        import numpy as np
-
-        return np.array(ids, dtype=np.int32).tobytes(), self.tokenizer.decode(ids, skip_special_tokens=False).encode() if self.plain and ids else b""
-
-    def learn(self, texts: list[list[bytes]]) -> dict[bytes, tuple[bytes, bytes]]:
-        """What the given stretches encode to; short ones are remembered, and so are the pre-tokens that they are cut into."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        cut = {w: pre_tokens(w) if self.plain and self.splits else (w,) for ws in texts for w in ws if w not in self.known}
-        new = list({p for ps in cut.values() for p in ps if p not in self.pieces})
-        short = [p for p in new if len(p) <= LEAF]
-        found = dict(zip(short, (self.stretch(e.ids) for e in self.tokenizer.encode_batch_fast([p.decode() for p in short], add_special_tokens=False)), strict=True))
-        found.update((p, self.stretch(encode_long(self.tokenizer, p.decode()))) for p in new if len(p) > LEAF)
-        out = {}
-        for w, ps in cut.items():
-            got = [self.pieces.get(p) or found[p] for p in ps]
-            out[w] = got[0] if len(got) == 1 else (b"".join([g[0] for g in got]), b" ".join([g[1] for g in got if g[0]]))
-        self.pieces.update((p, v) for p, v in found.items() if len(p) <= REMEMBERED_CHARS)
-        self.known.update((w, v) for w, v in out.items() if len(w) <= REMEMBERED_CHARS)
-        return out
+        if not self.plain:
+            cut = np.cumsum(counts)[:-1]
+            return pa.array([self.tokenizer.decode(x.tolist(), skip_special_tokens=False) for x in np.split(ids, cut)] if len(counts) else [], type=pa.string())
+        size = self.name_size[ids]
+        data = self.name_bytes[runs_from(self.name_start[ids], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]
+        full = counts > 0
+        keep = np.ones(len(data), dtype=bool)
+        keep[ends[full] - 1] = False
+        ends = ends - np.cumsum(full)
+        return pa.Array.from_buffers(pa.utf8(), len(counts), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(data[keep])])
+
+    def batch(self, texts: list[bytes | None]) -> tuple:
+        """(token ids, decoded texts) as Arrow arrays."""
+        import pyarrow as pa
 
-    def batch(self, texts: list[bytes | None]) -> list[tuple[bytes, str]]:
-        """(ids as int32 bytes, decoded text) of each."""
-        split = [(t or b"").split() if self.splits else [t] if t else [] for t in texts]
-        found = self.learn(split)
-        known = self.known
-        out = []
-        for ws in split:
-            parts = [known.get(w) or found[w] for w in ws]
-            ids = b"".join([p[0] for p in parts])
-            out.append((ids, b" ".join([p[1] for p in parts if p[0]]).decode() if self.plain else self.decoded(ids)))
-        return out
+        whole = [t or b"" for t in texts]
+        sides = self.encoded(b"".join(whole), np.cumsum([len(t) for t in whole]).tolist())
+        return self.arrays([[b[0] for b in s.blocks] for s in sides], pa)
+
+    def arrays(self, rows: list[list[np.ndarray]], pa) -> tuple:
+        counts = np.array([sum(len(b) for b in r) for r in rows], dtype=np.int64)
+        flat = [b for r in rows for b in r]
+        ids = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))), self.decoded(ids, counts)
 
-    def decoded(self, ids: bytes) -> str:
-        import numpy as np
 
-        return self.tokenizer.decode(np.frombuffer(ids, dtype=np.int32).tolist(), skip_special_tokens=False)
+def encode_long(codec: Codec, text: str) -> list[int]:
+    """Token ids of a text by the tree; equal to the library's encode(text, add_special_tokens=False).ids."""
+    return codec.batch([text.encode()])[0].flatten().to_pylist()
 
 
-def encode(df: DataFrame, text: str = "text", path: str | None = None) -> tuple[DataFrame, str, str]:
+def by_bytes(sizes: list[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of rows that hold at most so many bytes together, or are one row."""
+    first = held = 0
+    for k, n in enumerate(sizes):
+        if k > first and held + n > most:
+            yield first, k - first
+            first, held = k, 0
+        held += n
+    if len(sizes) > first:
+        yield first, len(sizes) - first
+
+
+def encode(df: DataFrame, text: str = "text", path: str | None = None, spread: int = SPREAD) -> tuple[DataFrame, str, str]:
     """df with the token ids (array of int) and the decoded text of a column, and the names of these two new columns.
 
-    Null and empty texts have no tokens and decode to ''. Texts are encoded whole, whatever their length; one task holds one
-    slice of rows at a time. Rows are independent, so repeated rows get equal results; other columns pass through whatever
-    their names; an empty table gives an empty table.
+    Null and empty texts have no tokens and decode to ''. Texts are encoded whole, whatever their length: one task holds a few
+    texts of up to spread bytes; a longer one is halved into pieces that several tasks encode, each different one once, and
+    one task joins. Rows are independent, so repeated rows get equal results; other columns pass through whatever their names;
+    an empty table gives an empty table.
     """
     path = path or vocabulary()
     ids, decoded = fresh(df, "ids", "decoded")
@@ -200,20 +403,61 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None) -> tuple[
     place = df.columns.index(text)
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         codec = Codec(path)
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(start, SLICE)
-                column = batch.column(place)
-                done = codec.batch(column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist())
-                ends = np.cumsum([0] + [len(i) // 4 for i, _ in done], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(i for i, _ in done), dtype=np.int32), type=pa.int32())
-                yield extended(batch, pa.ListArray.from_arrays(pa.array(ends), values), pa.array([d for _, d in done], type=pa.string()))
-
-    return map_arrow(df, run, added), ids, decoded
+            texts = whole.column(place).cast(pa.binary()).to_pylist()
+            for first, n in by_bytes([len(t or b"") for t in texts]):
+                yield extended(whole.slice(first, n), *codec.batch(texts[first : first + n]))
+
+    size = F.octet_length(col(text))
+    long = df.filter(size > spread)
+    if long.isEmpty():
+        return map_arrow(df, run, added), ids, decoded
+    short = map_arrow(df.filter(size.isNull() | (size <= spread)), run, added)
+    (h,) = fresh(df, "hash")
+    long = long.withColumn(h, F.sha2(col(text), 256))
+    done = _spread(long.select(col(h).alias("h"), col(text).alias("text")).dropDuplicates(["h"]), path, spread).toDF(h, ids, decoded)
+    return short.unionByName(long.join(done, h).select(*[col(c) for c in short.columns])), ids, decoded
+
+
+def _spread(texts: DataFrame, path: str, spread: int) -> DataFrame:
+    """h, ids, decoded of texts (h, text): pieces are encoded by many tasks, those of a text joined by one."""
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                at = [0, *cuts(t, 0, len(t), spread // 4), len(t)]
+                for a, b in zip(at, at[1:]):
+                    yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([a], type=pa.int64()), pa.array([t[a:b]], type=pa.binary())], names=["h", "at", "piece"])
+
+    def encoded(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        codec = Codec(path)
+        for batch in batches:
+            for k, piece in enumerate(batch.column(2).to_pylist()):
+                (side,) = codec.encoded(piece, [len(piece)])
+                tokens = np.concatenate([*side.blocks, NONE], axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns, pa.array([tokens.tobytes()], type=pa.binary())], names=["h", "at", "piece", "tokens"])
+
+    def joined(pieces):
+        import pandas as pd
+        import pyarrow as pa
+
+        codec = Codec(path)
+        pieces = pieces.sort_values("at")
+        sides = [Side(at, at + len(p), [np.frombuffer(t, dtype=np.int64).reshape(3, -1) + np.array([[0], [at], [at]])]) for at, p, t in zip(pieces["at"], pieces["piece"], pieces["tokens"], strict=True)]
+        (side,) = codec.joined(b"".join(pieces["piece"]), [sides])
+        ids, decoded = codec.arrays([[b[0] for b in side.blocks]], pa)
+        return pd.DataFrame({"h": [pieces["h"].iloc[0]], "ids": [ids[0].values.to_numpy()], "decoded": [decoded[0].as_py()]})
+
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = texts.mapInArrow(cut, "h string, at long, piece binary").repartition(tasks, "h", "at")
+    return pieces.mapInArrow(encoded, "h string, at long, piece binary, tokens binary").groupBy("h").applyInPandas(joined, "h string, ids array<int>, decoded string")
 
 
 def digests(df: DataFrame, key: list[str], text: str = "text", path: str | None = None) -> DataFrame:

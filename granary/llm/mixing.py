@@ -23,9 +23,11 @@ from .common import col, documents, durable, fresh, word_count
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A target's most, as a multiple of its source's size.
 MOST = 3.0
-#: Documents of a block, about, and the most blocks that a source is cut into (blocks grow beyond that).
+#: Documents of a block, about, and the most blocks of all sources together, but for one a source (blocks grow beyond that).
 BLOCK_ROWS = 256
-MOST_BLOCKS = 65_536
+MOST_BLOCKS = 524_288
+#: Words of a part of a shard that one task shuffles, about.
+PART_WORDS = 4_000_000
 SHARDS = 16
 #: Above so many sources the thresholds are joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 10_000
@@ -54,22 +56,42 @@ def targets(sources: Sequence[Source], weights: Sequence[float] = WEIGHTS, most:
     return [min(stop[i], level * w[i]) for i in range(len(sources))]
 
 
+#: A prime, and multipliers below it, of the permutations that the tree draws by.
+PRIME = 2**31 - 1
+TIMES = (1_103_515_245, 1_664_525, 214_013)
+
+
+def _drawn(draw: np.ndarray, node: int, seed: int) -> np.ndarray:
+    """The place of each draw in the node's permutation: a bijection below PRIME, twice a line and its fifth power."""
+    x = draw
+    for step in (0, 1):
+        x = (x * TIMES[step] + node * TIMES[2] + seed + step) % PRIME
+        square = x * x % PRIME
+        x = square * square % PRIME * x % PRIME
+    return x
+
+
 def split_quotas(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
-    """(shards, sources) counts of blocks: columns sum to quotas, rows to equal totals up to one."""
+    """(shards, sources) counts of blocks: columns sum to quotas, rows to equal totals up to one.
+
+    Each node permutes the blocks that it holds and gives its left half of the shards the first of them, as many as their
+    share: how many of each source these are is a multivariate hypergeometric draw.
+    """
+    quotas = np.asarray(quotas, dtype=np.int64)
+    source = np.repeat(np.arange(len(quotas)), quotas)
     out = np.zeros((shards, len(quotas)), dtype=np.int64)
 
-    def split(node: int, first: int, last: int, left: np.ndarray) -> None:
+    def split(node: int, first: int, last: int, held: np.ndarray) -> None:
         if last - first == 1:
-            out[first] = left
+            out[first] = np.bincount(source[held], minlength=len(quotas))
             return
         mid = (first + last) // 2
-        take = int(left.sum()) * (mid - first) // (last - first)
-        rng = np.random.Generator(np.random.PCG64([seed, node]))
-        part = rng.multivariate_hypergeometric(left, take, method="marginals") if take else np.zeros_like(left)
-        split(2 * node, first, mid, part)
-        split(2 * node + 1, mid, last, left - part)
+        order = held[np.argsort(_drawn(held, node, seed))]
+        take = len(held) * (mid - first) // (last - first)
+        split(2 * node, first, mid, order[:take])
+        split(2 * node + 1, mid, last, order[take:])
 
-    split(1, 0, shards, np.asarray(quotas, dtype=np.int64))
+    split(1, 0, shards, np.arange(quotas.sum()))
     return out
 
 
@@ -104,7 +126,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     goal = targets(stats, weights)
     whole = [min(int(MOST), int(g // s.size)) if s.size else 0 for s, g in zip(stats, goal, strict=True)]
     rest = [g - e * s.size if s.size else 0.0 for s, g, e in zip(stats, goal, whole, strict=True)]
-    cuts = [min(MOST_BLOCKS, math.ceil(s.rows / BLOCK_ROWS)) for s in stats]
+    rows_of_all = sum(s.rows for s in stats)
+    cuts = [min(max(1, math.floor(float(MOST_BLOCKS) * s.rows / rows_of_all)), math.ceil(s.rows / BLOCK_ROWS)) for s in stats]
 
     plan = spark.createDataFrame([(i, s.name, c, float(r)) for i, (s, c, r) in enumerate(zip(stats, cuts, rest, strict=True))], "sid long, source string, cuts long, rest double")
     if len(stats) <= BROADCAST_SOURCES:
@@ -152,17 +175,39 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents themselves: docs' columns, a row for each draw, dealt out and shuffled by shard."""
+    """The mixed documents themselves: docs' columns, a row for each draw, dealt out and shuffled by shard.
+
+    A shard is cut into parts by a hash, as many as keep a part at some PART_WORDS words; a part is in one task and in the order of shuffle.
+    """
     mixed, name = mix(docs, **options)
-    (draw,) = fresh(mixed, "draw")
-    rows = mixed.withColumn(draw, F.explode(name["draws"]))
+    draw, part = fresh(mixed, "draw", "part")
+    # the words of a mix are as many as those of its documents
+    words = docs.agg(F.sum(F.octet_length(col(options.get("text", "text"))))).first()[0] or 0
+    shards = options.get("shards", SHARDS)
+    parts = max(1, math.ceil(words / 6 / shards / PART_WORDS))
+    rows = mixed.withColumn(draw, F.explode(name["draws"])).withColumn(part, F.pmod(F.xxhash64(F.col(draw)["shuffle"]), F.lit(parts)))
+    rows = rows.repartition(shards * parts, F.col(draw)["shard"], F.col(part)).sortWithinPartitions(F.col(draw)["shard"], F.col(part), F.col(draw)["shuffle"])
     return rows.select(*[col(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, name = mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
     size = F.col(name["size"])
-    return mixed.select("doc_id", size.alias("size"), F.col(name["source_size"]).alias("source_size"), F.col(name["target"]).alias("target"), (size * F.size(name["draws"])).cast("long").alias("taken"))
+    return mixed.select(
+        "doc_id", size.alias("size"), F.col(name["source_size"]).alias("source_size"), F.col(name["target"]).alias("target"), (size * F.size(name["draws"])).cast("long").alias("taken"),
+        # the output shard of each draw, in the order of copies
+        F.array_join(F.transform(name["draws"], lambda d: d["shard"].cast("string")), ",").alias("shards"),
+    )
+
+
+def _level(level: int) -> str:
+    """SQL of one level of the tree: draws(node) of the level, from those of the level above."""
+    line = lambda x, step: f"({x} * {TIMES[step]} + node * {TIMES[2]} + {SEED + step}) % {PRIME}"
+    power = lambda x: f"(({x} * {x} % {PRIME}) * ({x} * {x} % {PRIME}) % {PRIME} * {x} % {PRIME})"
+    return f"""
+), level{level} AS (
+  SELECT sid, d, draw, 2 * node + CASE WHEN row_number() OVER (PARTITION BY node ORDER BY place) <= count(*) OVER (PARTITION BY node) // 2 THEN 0 ELSE 1 END AS node
+  FROM (SELECT *, {power("y")} AS place FROM (SELECT *, {line(power("x"), 1)} AS y FROM (SELECT *, {line("draw", 0)} AS x FROM level{level - 1})))"""
 
 
 SQL = f"""
@@ -180,7 +225,7 @@ WITH light AS (
 ), goals AS (
   SELECT *, least(stop, max(level) OVER () * w) AS target FROM levels
 ), plan AS (
-  SELECT *, CASE WHEN s > 0 THEN CAST(least({int(MOST)}, floor(target / s)) AS BIGINT) ELSE 0 END AS whole, CAST(least({MOST_BLOCKS}, ceil(n / {BLOCK_ROWS}.0)) AS BIGINT) AS cuts FROM goals
+  SELECT *, CASE WHEN s > 0 THEN CAST(least({int(MOST)}, floor(target / s)) AS BIGINT) ELSE 0 END AS whole, CAST(least(greatest(1, floor({MOST_BLOCKS}.0::DOUBLE * n / sum(n) OVER ())), ceil(n / {BLOCK_ROWS}.0)) AS BIGINT) AS cuts FROM goals
 ), rests AS (
   SELECT *, CASE WHEN s > 0 THEN target - whole * s ELSE 0 END AS rest FROM plan
 ), placed AS (
@@ -189,14 +234,33 @@ WITH light AS (
 ), sums AS (
   SELECT sid, block, any_value(rest) AS rest, md5('{SEED + 1}:' || coalesce(any_value(source), '\\N') || ':' || block) AS p, sum(size) AS n FROM placed GROUP BY sid, block
 ), ranked AS (
-  SELECT *, sum(n) OVER (PARTITION BY sid ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS before FROM sums
+  SELECT *, sum(n) OVER (PARTITION BY sid ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS before,
+         row_number() OVER (PARTITION BY sid ORDER BY p) - 1 AS rank, count(*) OVER (PARTITION BY sid) AS blocks FROM sums
 ), keyed AS (
   SELECT sid, block, h, sum(size) AS hn FROM placed GROUP BY sid, block, h
 ), marked AS (
   SELECT k.*, r.before, r.n, r.rest, sum(hn) OVER (PARTITION BY sid, block ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hend FROM keyed k JOIN ranked r USING (sid, block)
 ), more AS (
   SELECT sid, block, h, CASE WHEN before >= rest THEN 0 WHEN before + n < rest THEN 1 WHEN before + hend - hn / 2.0 <= rest THEN 1 ELSE 0 END AS extra FROM marked
+), quotas AS (
+  SELECT r.sid, any_value(r.blocks * w.whole) + count(*) FILTER (r.before < r.rest) AS quota FROM ranked r JOIN rests w USING (sid) GROUP BY r.sid
+), level0 AS (
+  SELECT sid, d, row_number() OVER (ORDER BY sid, d) - 1 AS draw, 1 AS node FROM (SELECT sid, unnest(range(quota)) AS d FROM quotas)
+{"".join(_level(k) for k in range(1, SHARDS.bit_length())).lstrip()}
+), dealt AS (
+  SELECT sid, node - {SHARDS} AS shard, count(*) AS n FROM level{SHARDS.bit_length() - 1} GROUP BY ALL
+), bounds AS (
+  SELECT q.sid, r.shard, coalesce(sum(n) OVER (PARTITION BY q.sid ORDER BY r.shard), 0) AS upto
+  FROM quotas q CROSS JOIN (SELECT unnest(range({SHARDS})) AS shard) r LEFT JOIN dealt d ON d.sid = q.sid AND d.shard = r.shard
+), rows AS (
+  SELECT p.*, m.extra, r.rank, r.blocks, row_number() OVER () AS row FROM placed p JOIN more m USING (sid, block, h) JOIN ranked r USING (sid, block)
+), copies AS (
+  SELECT row, sid, copy, copy * blocks + rank AS d FROM (SELECT row, sid, blocks, rank, unnest(range(whole + extra)) AS copy FROM rows)
+), placed_copies AS (
+  SELECT row, copy, (SELECT count(*) FROM bounds b WHERE b.sid = c.sid AND b.shard < {SHARDS - 1} AND b.upto <= c.d) AS shard FROM copies c
+), listed AS (
+  SELECT row, string_agg(CAST(shard AS VARCHAR), ',' ORDER BY copy) AS shards FROM placed_copies GROUP BY row
 )
-SELECT p.doc_id, p.size, p.s AS source_size, p.target, CAST(p.size * (p.whole + m.extra) AS BIGINT) AS taken
-FROM placed p JOIN more m USING (sid, block, h)
+SELECT doc_id, size, s AS source_size, target, CAST(size * (whole + extra) AS BIGINT) AS taken, coalesce(shards, '') AS shards
+FROM rows LEFT JOIN listed USING (row)
 """

@@ -117,10 +117,43 @@ def test_quality_odd(odd, none):
 def test_bpe_tree_equals_library():
     tokenizer = bpe.load(bpe.vocabulary())
     rng = random.Random(5)
-    bits = ["a", "e", "th", "'ll", "'s", "'", ".", "!!", "9", "ß", "é", "é", "日本", "<|endoftext|>", "<", "|", "Ω", "ing", "tion", "☃", "́", " "]
-    for k in range(150):
-        s = "".join(rng.choice(bits if k % 3 else "abcdeht") for _ in range(rng.randint(0, 700)))
-        assert bpe.encode_long(tokenizer, s, leaf=rng.choice([20, 50, 100])) == tokenizer.encode(s, add_special_tokens=False).ids
+    bits = ["a", "e", "th", "'ll", "'s", "'", ".", "!!", "9", "ß", "é", "é", "日本", "<|endoftext|>", "<", "|", "Ω", "ing", "tion", "☃", "́", " ", " ", "\n", "\u2003"]
+    for leaf in (20, 50, 100):
+        codec = bpe.Codec(bpe.vocabulary(), leaf)
+        made = ["".join(rng.choice(bits if k % 3 else "abcdeht ") for _ in range(rng.randint(0, 700))) for k in range(50)]
+        ids, decoded = codec.batch([*(s.encode() for s in made), None])
+        for s, i, d in zip([*made, ""], ids.to_pylist(), decoded.to_pylist(), strict=True):
+            want = tokenizer.encode(s, add_special_tokens=False).ids
+            assert i == want and d == tokenizer.decode(want, skip_special_tokens=False)
+            assert bpe.encode_long(codec, s) == want
+
+
+def test_bpe_joins_matter(monkeypatch):
+    """Without the joins the halves of a text have other tokens than the text."""
+    tokenizer, text = bpe.load(bpe.vocabulary()), "internationalisation of neighbourhoods " * 40
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    codec = bpe.Codec(bpe.vocabulary(), 64)
+    assert bpe.encode_long(codec, text) == want
+    monkeypatch.setattr(bpe.Codec, "join", lambda self, data, pairs: [bpe.Side(a.start, b.end, [*a.blocks, *b.blocks]) for a, b in pairs])
+    assert bpe.encode_long(codec, text) != want
+
+
+def test_bpe_keeps_white_space():
+    name = "byte_bpe_50k.json"
+    tokenizer, codec = bpe.load(bpe.vocabulary(name)), bpe.Codec(bpe.vocabulary(name), 40)
+    for text in ("a  b\n\nc " * 50, "été " * 60, "x" * 500, ""):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        ids, decoded = codec.batch([text.encode()])
+        assert ids[0].as_py() == want and decoded[0].as_py() == tokenizer.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_long_texts_in_several_tasks(spark):
+    tokenizer = bpe.load(bpe.vocabulary())
+    rows = [(1, "internationalisation " * 300), (2, "x" * 5000), (3, "short"), (4, None), (2, "x" * 5000), (None, "Straße, éa " * 400)]
+    work, ids, decoded = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string"), spread=1000)
+    got = sorted((repr(r["doc_id"]), r["text"] or "", r[ids], r[decoded]) for r in work.collect())
+    want = [(repr(d), t or "", tokenizer.encode(t or "", add_special_tokens=False).ids) for d, t in rows]
+    assert got == sorted((*w, tokenizer.decode(w[2], skip_special_tokens=False)) for w in want)
 
 
 def test_bpe_round_trip(spark, docs, odd, none, texts):
@@ -252,6 +285,43 @@ def test_mixing_tree():
     assert (mixing.split_quotas(quotas, 7) == split).all()
 
 
+def test_mixing_blocks_and_quotas(docs):
+    """Brute force of the deal: draw d of a source is block d of its permuted passes, and lies in the shard of the tree's quotas."""
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    held = collections.defaultdict(list)
+    for r in docs.collect():
+        held[r["source"]].append((md5(f"{mixing.SEED}:{r['doc_id']}"), len(WORD.findall(r["text"] or "")), r["doc_id"]))
+    names = sorted(held, key=lambda x: (x is None, x or ""))
+    goals = mixing.targets([mixing.Source(x, sum(n for _, n, _ in held[x]), len(held[x])) for x in names])
+    ranks, blocks, quotas = {}, [], []
+    for x, goal in zip(names, goals, strict=True):
+        cuts, size = -(-len(held[x]) // mixing.BLOCK_ROWS), sum(n for _, n, _ in held[x])
+        block = lambda h: int(h[:8], 16) * cuts // 2**32  # noqa: B023, E731
+        words = collections.Counter()
+        for h, n, _ in held[x]:
+            words[block(h)] += n
+        order = sorted(words, key=lambda k: md5(f"{mixing.SEED + 1}:{x}:{k}"))
+        ranks |= {d: order.index(block(h)) for h, _, d in held[x]}
+        whole = min(3, int(goal // size))
+        before = [sum(words[k] for k in order[:j]) for j in range(len(order))]
+        blocks.append(len(order))
+        quotas.append(whole * len(order) + sum(n < goal - whole * size for n in before))
+    upto = np.cumsum(mixing.split_quotas(np.array(quotas), 5), axis=0)
+    mixed, name = mixing.mix(docs, shards=5)
+    for r in mixed.select("doc_id", "source", name["draws"]).collect():
+        k = names.index(r["source"])
+        for d in r[name["draws"]]:
+            draw = d["copy"] * blocks[k] + ranks[r["doc_id"]]
+            assert draw < quotas[k] and d["shard"] == int((upto[:, k] <= draw).sum())
+
+
+def test_mixing_shuffles(docs):
+    mixed, name = mixing.mix(docs)
+    order = {(r["doc_id"], r["d"]["shard"]): r["d"]["shuffle"] for r in mixed.select("doc_id", F.explode(name["draws"]).alias("d")).collect()}
+    parts = mixing.mixture(docs).select("doc_id", F.spark_partition_id().alias("p")).collect()
+    assert len({r["p"] for r in parts}) > 1 and len(parts) == sum(r[0] for r in mixed.select(F.size(name["draws"])).collect()) and order
+
+
 def test_mixing_targets():
     s = lambda name, size: mixing.Source(name, size, 1)
     assert mixing.targets([s("a", 100), s("b", 100), s("c", 100)]) == pytest.approx([187.5, 75, 37.5])
