@@ -259,6 +259,71 @@ def test_html_pages(spark, sf):
         assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
+S = "A sentence of some length stands here, with words in it."
+PAGES = {
+    "a title outside the text": (f"<body><div id=page><h1>Title</h1><div class=text><p>{S}</p><p>{S}</p></div></div>", f"Title\n{S}\n{S}"),
+    "names that only look like others": (f"<article><div class='entry-header'><h1>T</h1></div><p>{S}<p class='side-effects'>{S}<section class='related-work'><p>{S}</section></article>", f"T\n{S}\n{S}\n{S}"),
+    "links between": (f"<body><div><p>{S}</p></div><div><a href=a>a</a><a href=b>b</a><a href=c>c</a> link farm</div><div><p>{S}</p></div>", f"{S}\n{S}"),
+    "a form around all": (f"<body><form id=aspnet><div><a>m</a><a>n</a></div><div><h2>T</h2><p>{S}</p><p>{S}</p></div></form>", f"T\n{S}\n{S}"),
+    "a wrapper that says what it has not": (f"<body><div class='post no-comments has-sidebar'><h1>T</h1><p>{S}</p><p>{S}</p></div><div class=comments><p>{S * 4}</p></div></body>", f"T\n{S}\n{S}"),
+    "cells of a table": (f"<table><tr><td><a>x</a><br><a>y</a><br><a>z</a></td><td><p>{S * 3}</p></td></tr><tr><td></td><td><p>{S}</p><p>Short.</p></td></tr></table>", f"{S * 3}\n{S}\nShort."),
+    "no names at all": (f"<body><div><a href=1>Home</a><a href=2>News</a><a href=3>Sport</a></div><div><h1>Title</h1><p>{S}<p>{S}<p>Short.<p>{S}</div></body>", f"Title\n{S}\n{S}\nShort.\n{S}"),
+    "short blocks without names or links": (f"<body><div>Log in</div><div>Help</div><div>Feed</div><div>Shop</div><div><p>{S * 4}<p>{S * 3}<p>{S * 4}</div><div>Terms</div><div>About</div></body>", f"{S * 4}\n{S * 3}\n{S * 4}"),
+    "longer comments than text": (f"<article><h1>T</h1><p>{S}</p><p>{S}</p><div class=comment-list><p>{S * 9}</p><p>{S * 9}</p></div></article>", f"T\n{S}\n{S}"),
+    "sections": (f"<body><nav><a>a</a><a>b</a></nav><main><section><h2>One</h2><p>{S * 5}</p></section><section><h2>Two</h2><p>Short.</p></section></main><footer>{S}</footer></body>", f"One\n{S * 5}\nTwo\nShort."),
+    "a page's header and an article's": (f"<body><header><h1>Site</h1><p>tagline</p></header><div class=post><header><h1>T</h1></header><p>{S}</p></div></body>", f"T\n{S}"),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_html_regions(name):
+    page, want = PAGES[name]
+    assert html_text.extract(page) == want
+
+
+def test_html_clusters_decide(monkeypatch, spark, sf):
+    """Without the threshold no page keeps its text; without ratios the page of short blocks loses its own."""
+    found = [r["html"] for r in common.pages(spark, sf).collect()]
+    right = [html_text.extract(h) for h in found]
+    with monkeypatch.context() as m:
+        m.setattr(html_text, "threshold", lambda values: -1.0)
+        assert all(html_text.extract(h) != t for h, t in zip(found, right, strict=True))
+    page, want = PAGES["short blocks without names or links"]
+    with monkeypatch.context() as m:
+        m.setattr(html_text, "ratios", lambda lines: [5.0] * len(lines))
+        assert html_text.extract(page) != want
+
+
+def test_html_ratios_and_clusters():
+    """Ratios, smoothing and threshold against plain computations."""
+    parser = html_text.Lines()
+    parser.feed("<div><p>abc <a href=x>de</a> f</p><p>" + "x" * 20 + "</p></div>")
+    parser.close()
+    assert [(x.text, x.outside, x.links, x.tags) for x in parser.lines] == [("abc de f", 4, 1, 4), ("x" * 20, 20, 0, 2)]  # <p>, <a>, </a>, </p>
+    assert html_text.ratios(parser.lines) == pytest.approx([np.log1p(1), np.log1p(10)])
+    rng = random.Random(8)
+    for n in (1, 2, 5, 40):
+        v = [rng.random() * 6 for _ in range(n)]
+        w = np.exp(-np.subtract.outer(np.arange(n), np.arange(n)) ** 2 / (2 * html_text.SIGMA**2)) * (abs(np.subtract.outer(np.arange(n), np.arange(n))) <= 3)
+        assert html_text.smooth(v) == pytest.approx((w @ v / w.sum(axis=1)).tolist())
+        # two means on a line: no value is nearer to the other cluster's mean
+        t = html_text.threshold(v)
+        low, high = [x for x in v if x <= t], [x for x in v if x > t]
+        assert t == html_text.FLOOR or t == pytest.approx((np.mean(low) + np.mean(high)) / 2)
+
+
+def test_html_tables(spark):
+    long = "<article>" + f"<p>{S}</p>" * 20000 + "</article>"
+    deep = "<div>" * 3000 + S + "</i>" * 3000 + "<b>" * 3000 + "<p>" * 3000
+    rows = [(1, "u", None, "t"), (2, "u", "", "t"), (3, None, f"<p>{S}</p>", None), (3, None, f"<p>{S}</p>", None), (None, "u", long, "t"), (4, "u", "<nav><a>x</a></nav>", "t"), (5, "u", deep, "t")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    work, name = html_text.main_text(df)
+    assert work.columns[:4] == df.columns and name not in df.columns
+    got = sorted((repr(r["page_id"]), r[name]) for r in work.collect())
+    assert got == sorted([("1", ""), ("2", ""), ("3", S), ("3", S), ("None", "\n".join([S] * 20000)), ("4", ""), ("5", S)])
+    assert html_text.main_text(df.filter("page_id = -1"))[0].count() == 0
+
+
 # --- mixing -----------------------------------------------------------------------------------------------------------
 
 
