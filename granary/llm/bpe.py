@@ -29,8 +29,8 @@ SPREAD = 1 << 20
 FIRST_WINDOW = 16
 #: Bytes around a join in which agreement doesn't count: contractions and special tokens are shorter.
 MARGIN = 32
-#: Bytes of words that a task remembers before it forgets them all (a batch may add up to twice its own).
-REMEMBERED = 16 << 20
+#: Bytes of words and pre-tokens that a worker remembers before it forgets them all (a batch may add up to twice its own).
+REMEMBERED = 10 << 20
 #: Bytes of text that are encoded at a time (one text at least).
 SLICE_BYTES = 1 << 20
 
@@ -91,7 +91,7 @@ def pre_tokens(word: bytes) -> tuple[bytes, ...]:
     """
     stem = word.rstrip(TAIL)
     if stem.isalpha():
-        head = stem.lower()
+        head = stem if stem.islower() else stem.lower()
     elif stem and stem.decode().isalpha():
         head = stem
     else:
@@ -173,9 +173,9 @@ class Codec:
     def __init__(self, path: str, leaf: int = LEAF):
         self.tokenizer, self.leaf = load(path), leaf
         encode = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        #: Whether white space and letter case are dropped; if not, a leaf is one word.
         #: Without a decoder the library joins tokens by a space, so decoded texts can be put together from a table.
         self.plain = self.tokenizer.decoder is None
+        #: Whether white space and letter case are dropped; if not, a leaf is one word.
         self.splits = self.plain and encode("Ab c") == encode("ab") + encode("c") == encode("ab\n  c")
         if self.plain:
             names = {i: t.encode() + b" " for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
@@ -225,14 +225,14 @@ class Codec:
         for w in words:
             if w not in index:
                 index[w] = len(index)
-                numbers = []
-                for p in pre_tokens(w):
+                ps = pre_tokens(w)
+                for p in ps:
                     if p not in pieces:
                         pieces[p] = len(pieces)
                         asked.append(p)
-                    numbers.append(pieces[p])
-                made.append((numbers[0], numbers[1] if len(numbers) > 1 else -1, len(w) - len(p)))
-                self.held += 2 * len(w)
+                        self.held += len(p)
+                made.append((pieces[ps[0]], pieces[p] if len(ps) > 1 else -1, len(ps[0])))
+                self.held += len(w)
         if made:
             self.words.add(np.array(made, dtype=np.int64).T)
             found, counts = self.pretokens(asked)
@@ -242,22 +242,30 @@ class Codec:
 
     def pretokens(self, asked: list[bytes]) -> tuple[Tokens, np.ndarray]:
         """(tokens of all, number of each) of pre-tokens, as bytes from their own start on."""
-        rows = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in asked], add_special_tokens=False)]
+        texts = [p.decode() for p in asked]
+        rows = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.array([len(r) for r in rows], dtype=np.int64)
         ids = np.array([i for r in rows for i in r], dtype=np.int64)
-        # tokens of ASCII follow one another byte by byte; where characters change, the library tells
-        out = np.zeros((3, len(ids)), dtype=np.int64)
+        length = np.array([len(p) for p in asked], dtype=np.int64)
+        begin, ends = np.cumsum(length) - length, np.cumsum(counts)
+        out = np.empty((3, len(ids)), dtype=np.int64)
         out[0] = ids
+        # tokens of what the normaliser leaves alone follow one another byte by byte, and stand for whole characters
         size = self.name_covers[ids]
         upto = np.concatenate([[0], np.cumsum(size)])
-        ends = np.cumsum(counts)
-        out[2] = upto[1:] - np.repeat(upto[ends - counts], counts)
-        out[1] = out[2] - size
-        length = np.array([len(p) for p in asked], dtype=np.int64)
-        odd = np.flatnonzero((upto[ends] - upto[ends - counts] != length) | ~np.array([p.isascii() for p in asked], dtype=bool))
-        if len(odd):
-            at = runs_from((ends - counts)[odd], counts[odd])
-            out[:, at] = np.concatenate(self.located([asked[k] for k in odd.tolist()], [0] * len(odd)), axis=1)
+        own = np.repeat(begin, counts)
+        last = upto[1:] - np.repeat(upto[ends - counts], counts)
+        odd = upto[ends] - upto[ends - counts] != length
+        odd |= np.array([not (t.isascii() or (t.lower() == t and unicodedata.is_normalized("NFC", t))) for t in texts], dtype=bool)
+        data = np.append(np.frombuffer(b"".join(asked), dtype=np.uint8), np.uint8(0))
+        starts = np.flatnonzero((data & 0xC0) != 0x80)
+        fits = ~np.repeat(odd, counts)
+        first, last = (own + last - size)[fits], (own + last)[fits]
+        out[1, fits] = starts[np.searchsorted(starts, first, side="right") - 1] - own[fits]
+        out[2, fits] = starts[np.searchsorted(starts, last)] - own[fits]
+        if odd.any():
+            which = np.flatnonzero(odd).tolist()
+            out[:, ~fits] = np.concatenate(self.located([asked[k] for k in which], [0] * len(which)), axis=1)
         return out, counts
 
     def leaves(self, data: bytes, bounds: np.ndarray) -> tuple[Tokens, np.ndarray]:
@@ -372,6 +380,18 @@ class Codec:
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))), self.decoded(ids, counts)
 
 
+def kept(path: str) -> Codec:
+    """The Python worker's codec of that vocabulary: what one task has learnt serves the next one of the worker."""
+    import sys
+    import types
+
+    # functions travel to workers by value, so a module of theirs would be new for each task
+    held = vars(sys.modules.setdefault("granary_kept", types.ModuleType("granary_kept")))
+    if path not in held:
+        held[path] = Codec(path)
+    return held[path]
+
+
 def encode_long(codec: Codec, text: str) -> list[int]:
     """Token ids of a text by the tree; equal to the library's encode(text, add_special_tokens=False).ids."""
     return codec.batch([text.encode()])[0].flatten().to_pylist()
@@ -405,7 +425,7 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None, spread: i
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = Codec(path)
+        codec = kept(path)
         for whole in batches:
             texts = whole.column(place).cast(pa.binary()).to_pylist()
             for first, n in by_bytes([len(t or b"") for t in texts]):
@@ -437,7 +457,7 @@ def _spread(texts: DataFrame, path: str, spread: int) -> DataFrame:
     def encoded(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = Codec(path)
+        codec = kept(path)
         for batch in batches:
             for k, piece in enumerate(batch.column(2).to_pylist()):
                 (side,) = codec.encoded(piece, [len(piece)])
@@ -448,7 +468,7 @@ def _spread(texts: DataFrame, path: str, spread: int) -> DataFrame:
         import pandas as pd
         import pyarrow as pa
 
-        codec = Codec(path)
+        codec = kept(path)
         pieces = pieces.sort_values("at")
         sides = [Side(at, at + len(p), [np.frombuffer(t, dtype=np.int64).reshape(3, -1) + np.array([[0], [at], [at]])]) for at, p, t in zip(pieces["at"], pieces["piece"], pieces["tokens"], strict=True)]
         (side,) = codec.joined(b"".join(pieces["piece"]), [sides])
