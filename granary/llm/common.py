@@ -66,6 +66,26 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A key of more rows than these, and than a HOT_KEYS-th of all, is hot; there are fewer than HOT_KEYS such keys.
+HOT_ROWS = 100_000
+HOT_KEYS = 200_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: list[str], count: str, total: int) -> DataFrame:
+    """rows joined with a table of one row a key, without its column that tells how many of the rows, total in all, have it.
+
+    The table's rows of hot keys are sent to all tasks, as there are few, so no task gathers a hot key's rows. Keys aren't null.
+    """
+    bar = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= bar:
+        return rows.join(table.drop(count), key)
+    hot = durable(table.filter(F.col(count) > bar).drop(count))
+    if hot.isEmpty():
+        return rows.join(table.drop(count), key)
+    cold = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(table.filter(F.col(count) <= bar).drop(count), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequence[str] | None = None) -> DataFrame:
     """df.mapInArrow(run) where run returns df's columns and then the added ones, in that order.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, durable, fresh
+from .common import col, documents, durable, fresh, looked_up
 from .components import components
 from .shingles import many, shingle_hashes
 
@@ -26,9 +27,10 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: Share of pairs at half the threshold that may become candidates.
 NOISE = 0.4
-#: Buckets of up to so many representatives give pairs, larger ones go by chunks of so many.
+#: Buckets of up to so many representatives give pairs, larger ones go by chunks of so many, or of so many shingles.
 SMALL = 32
 CHUNK = 512
+CHUNK_SHINGLES = 1_000_000
 #: Id lists of up to so many rows are broadcast to filter texts (16 bytes each); longer ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: The same for lists of ids with hashes of texts (some 100 bytes each).
@@ -109,10 +111,15 @@ def only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     return docs.join(ids, "id", how)
 
 
-def jaccard(a: bytes, b: bytes) -> float:
+def enough(both, x, y, threshold: float):
+    """Whether sets of x and y members with so many in common reach the similarity; in integers, so exactly."""
+    bound = Fraction(str(threshold))
+    return bound.denominator * both >= bound.numerator * (x + y - both)
+
+
+def alike(a: bytes, b: bytes, threshold: float) -> bool:
     x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+    return bool(enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), threshold))
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -134,13 +141,13 @@ def chunk_links(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["side", "id"], ignore_index=True)
         sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["set"]]
-        sizes = np.array([len(s) for s in sets], dtype=np.float32)
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
         flat = np.concatenate(sets)
         values, place, df = np.unique(flat, return_inverse=True, return_counts=True)
         shared = np.cumsum(df > 1) - 1  # a shingle of one row is in no intersection
-        row = np.repeat(np.arange(len(sets)), sizes.astype(int))
+        row = np.repeat(np.arange(len(sets)), sizes)
         keep = df[place] > 1
-        both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        both = np.zeros((len(sets), len(sets)), dtype=np.int64)
         r, c = row[keep], shared[place[keep]]
         order = np.argsort(c, kind="stable")
         r, c = r[order], c[order]
@@ -148,14 +155,14 @@ def chunk_links(threshold: float):
             a, b = np.searchsorted(c, [low, low + 4096])
             x = np.zeros((len(sets), 4096), dtype=np.float32)
             x[r[a:b], c[a:b] - low] = 1
-            both += x @ x.T
-        link = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-4
+            both += (x @ x.T).astype(np.int64)  # exact: at most 4,096
+        link = enough(both, sizes[:, None], sizes[None, :], threshold)
         side, band = rows["side"].to_numpy(), int(rows["band"].iloc[0])
         keys = np.stack(rows["keys"].to_numpy())
         for b in range(band):
             link &= keys[:, b][:, None] != keys[:, b][None, :]
         link &= np.triu(np.ones_like(link), 1)
-        if (side != side[0]).any():
+        if rows["i"].iloc[0] != rows["j"].iloc[0]:
             link &= side[:, None] != side[None, :]
         a, b = np.nonzero(link)
         weight = rows["copies"].to_numpy()
@@ -190,13 +197,13 @@ def members(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     bands, rows = bands_for(threshold)
     docs = df.select(F.coalesce(col(key).cast("long"), F.lit(NULL)).alias("id"), col(text).alias("text"))
     light = durable(sketched(docs, bands, rows))
-    # one representative for each set; its id must name one text, so a repeated id is told apart by the set's hash
-    named = light.filter("n > 0").groupBy("whole").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"), F.any_value("n").alias("n"))
-    named = durable(named.withColumn("node", F.xxhash64("whole")))
-    exploded = named.select("node", F.posexplode("keys").alias("band", "bucket"))
-    counts = exploded.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    member = durable(exploded.join(counts, ["band", "bucket"]))
-    facts = named.select("node", "rep", "copies", "keys")
+    # one representative for each set, named by the set's 128-bit hash, as keys may repeat
+    named = durable(light.filter("n > 0").groupBy(F.col("whole").alias("node")).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"), F.any_value("n").alias("n")))
+    total = named.agg(F.count(F.lit(1)).alias("sets"), F.sum("copies").alias("rows")).first()
+    exploded = named.select("node", "n", F.posexplode("keys").alias("band", "bucket"))
+    counts = exploded.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).filter("size > 1").withColumn("rows", F.col("size"))
+    member = durable(looked_up(exploded.drop("n"), counts, ["band", "bucket"], "rows", bands * total["sets"]))
+    facts = named.select("node", "copies", "keys")
     inside = member.join(facts, "node")
 
     small = inside.filter(F.col("size") <= SMALL).groupBy("band", "bucket").agg(F.sort_array(F.collect_list(F.struct("node", "keys", "copies"))).alias("m"))
@@ -207,33 +214,36 @@ def members(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     pairs = durable(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.copies").alias("na"), F.col("y.copies").alias("nb")))
 
     # full sets, of representatives that have candidates
-    wanted = member.select("node").distinct().join(named.select("node", F.col("rep").alias("id"), "whole"), "node")
+    wanted = member.select("node").distinct().join(named.select("node", F.col("rep").alias("id")), "node")
     sets = shingled(only(docs, wanted))
-    sets = durable(sets.join(wanted.select("node", "whole"), "whole").groupBy("node").agg(F.any_value("set").alias("set")))
+    sets = durable(sets.join(wanted.select("node"), "node").groupBy("node").agg(F.any_value("set").alias("set")))
 
     side = lambda name: sets.select(F.col("node").alias(name), F.col("set").alias(f"s{name}"))
-    similar = F.pandas_udf(lambda x, y: pd.Series([jaccard(a, b) for a, b in zip(x, y, strict=True)], dtype="float64"), T.DoubleType())
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("similarity", similar("sa", "sb")).filter(F.col("similarity") >= threshold).select("a", "b", "na", "nb")
-    linked = durable(linked)
+    similar = F.pandas_udf(lambda x, y: pd.Series([alike(a, b, threshold) for a, b in zip(x, y, strict=True)], dtype="bool"), T.BooleanType())
+    linked = durable(pairs.join(side("a"), "a").join(side("b"), "b").filter(similar("sa", "sb")).select("a", "b", "na", "nb"))
 
-    chunk = inside.filter(F.col("size") > SMALL).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int"))
+    chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.least(F.col("size"), F.ceil(F.col("shingles") / CHUNK_SHINGLES))).cast("int")
+    chunk = inside.filter(F.col("size") > SMALL).withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int"))
     met = chunk.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     met = met.select("node", "copies", "keys", "band", "bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), (F.col("chunk") > F.col("other")).cast("int").alias("side"))
     met = met.join(sets, "node").select(F.col("node").alias("id"), "copies", "keys", "band", "bucket", "i", "j", "side", "set")
-    dense = durable(met.groupBy("band", "bucket", "i", "j").applyInPandas(chunk_links(threshold), "id long, links long, root long"))
+    dense = durable(met.groupBy("band", "bucket", "i", "j").applyInPandas(chunk_links(threshold), "id string, links long, root string"))
 
     links = linked.select(F.col("a").alias("node"), F.col("nb").alias("links")).union(linked.select("b", "na")).union(dense.select("id", "links")).groupBy("node").agg(F.sum("links").alias("links"))
     edges = linked.select("a", "b").union(dense.select("id", "root"))
     found = components(edges)
     owner = found.join(named.select(F.col("node").alias("id"), "rep"), "id")
-    least = owner.groupBy("root").agg(F.min("rep").alias("class"))
-    known = named.join(links, "node", "left").join(found.select(F.col("id").alias("node"), "root"), "node", "left").join(least, "root", "left")
-    known = known.select("whole", "rep", F.coalesce("class", "rep").alias("class"), F.coalesce("root", "node").alias("group"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return light.select("id", "mark", "whole").join(known, "whole", "left").select("id", "mark", "rep", "class", "n_links", "group")
+    least = owner.groupBy("root").agg(F.min("rep").alias("class"), F.count(F.lit(1)).alias("nodes"))
+    classed = looked_up(owner, least, ["root"], "nodes", total["sets"]).select(F.col("id").alias("node"), "root", "class")
+    known = named.join(links, "node", "left").join(classed, "node", "left")
+    known = durable(known.select(F.col("node").alias("whole"), "rep", F.coalesce("class", "rep").alias("class"), F.coalesce("root", "node").alias("group"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies"))
+    names = ["id", "mark", "rep", "class", "n_links", "group"]
+    out = looked_up(light.filter("whole is not null").select("id", "mark", "whole"), known, ["whole"], "copies", total["rows"] or 0).select(*names)
+    return out.unionByName(light.filter("whole is null").select("id", "mark"), allowMissingColumns=True)
 
 
 def shingled(docs: DataFrame) -> DataFrame:
-    """whole, set of each row with words."""
+    """node (the 128-bit hash of the set), set of each row with words."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -241,9 +251,9 @@ def shingled(docs: DataFrame) -> DataFrame:
 
         for _, texts in _batches(batches):
             sets = [s.tobytes() for s in sets_of(texts) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_hexdigest(s) for s in sets], type=pa.string()), pa.array(sets, type=pa.binary())], names=["whole", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_hexdigest(s) for s in sets], type=pa.string()), pa.array(sets, type=pa.binary())], names=["node", "set"])
 
-    return docs.select("id", "text").mapInArrow(run, "whole string, set binary")
+    return docs.select("id", "text").mapInArrow(run, "node string, set binary")
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -254,12 +264,13 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     found = durable(members(df, key, text, threshold).filter("group is not null").select("id", "mark", "group"))
     row = F.struct("id", "mark")
     kept = durable(found.groupBy("group").agg(F.min(row).alias("first"), F.max(row).alias("last"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
-    gone = found.join(kept.filter("first != last").select("group", "first"), "group").filter(row != F.col("first")).select("id", "mark").distinct()
+    several = durable(looked_up(found, kept, ["group"], "rows", found.count()))
+    gone = several.filter("first != last").filter(row != F.col("first")).select("id", "mark").distinct()
     place, mark = fresh(df, "id", "mark")
     rows = df.withColumn(place, F.coalesce(col(key).cast("long"), F.lit(NULL))).withColumn(mark, F.md5(col(text)))
     listed = lambda x: (F.broadcast(x) if x.limit(BROADCAST_MARKS + 1).count() <= BROADCAST_MARKS else x).toDF(place, mark)
     rows = rows.join(listed(durable(gone)), [place, mark], "left_anti")
-    again = durable(found.join(kept.select("group", "first"), "group").filter(row == F.col("first")).groupBy("id", "mark").count().filter("count > 1").select("id", "mark"))
+    again = durable(several.filter(row == F.col("first")).groupBy("id", "mark").count().filter("count > 1").select("id", "mark"))
     if not again.isEmpty():
         twice = rows.join(listed(again), [place, mark], "left_semi").dropDuplicates([place, mark])
         rows = rows.join(listed(again), [place, mark], "left_anti").unionByName(twice)
