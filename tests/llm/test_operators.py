@@ -453,10 +453,11 @@ def near_copies():
     return texts | {200: None, 201: "", 202: "a b", 203: "a b", 204: texts[0]}
 
 
-@pytest.mark.parametrize("small,chunk", [(32, 512), (1, 3)])
-def test_jaccard(spark, docs, texts, monkeypatch, small, chunk):
+@pytest.mark.parametrize("small,chunk,hot", [(32, 512, 100_000), (1, 3, 2), (2, 7, 5)])
+def test_jaccard(spark, docs, texts, monkeypatch, small, chunk, hot):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     made = near_copies()
     frame = spark.createDataFrame(list(made.items()), "doc_id long, text string")
     for df, by in ((frame, made),) + (((docs, texts),) if small == 32 else ()):
@@ -489,8 +490,27 @@ def test_bands():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999
 
 
-def test_components(spark):
-    edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (7, 7)]
+def test_jaccard_is_exact_in_integers():
+    x = np.arange(50, dtype=np.uint64)
+    at_bound = np.concatenate([x[:40], x[-10:] + np.uint64(1000)])
+    assert not jaccard.alike(x.tobytes(), at_bound.tobytes(), 0.8) and jaccard.alike(x.tobytes(), x[:40].tobytes(), 0.8) and not jaccard.alike(x.tobytes(), x[:39].tobytes(), 0.8)
+    assert jaccard.enough(8 * 10**12, 9 * 10**12, 9 * 10**12, 0.8) and not jaccard.enough(8 * 10**12 - 1, 9 * 10**12, 9 * 10**12, 0.8)
+
+
+def test_looked_up(spark, monkeypatch):
+    rows = spark.createDataFrame([(k % 7 if k % 2 else 0, k) for k in range(60)], "k long, v long")
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("most"))
+    want = sorted(map(tuple, rows.join(table.drop("n"), "k").collect()))
+    for hot in (1000, 20, 0):
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        got = common.looked_up(rows, table, ["k"], "n", 60)
+        assert got.columns == ["k", "v", "most"] and sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("hot", [100_000, 1])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (7, 7), (100, 102), (None, 3), (4, None)]
     got = {r["id"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
@@ -537,11 +557,27 @@ def test_passages(docs, texts):
     rows = passages.repeats(docs).collect()
     got = covered(rows)
     assert all(want[i] <= got[i] for i in list(want))
-    for r in rows:  # what is reported is alike
+    for r in rows:  # what is reported is alike, words put in or left out included: some stretch of the other is, in order
         a, b = WORD.findall(texts[r["doc_id"]]), WORD.findall(texts[r["of_doc_id"]])
-        x, y = a[r["first_word"] : r["first_word"] + r["n_words"]], b[r["of_first_word"] : r["of_first_word"] + r["n_words"]]
-        same = sum(x[k : k + 5] == y[k : k + 5] for k in range(len(x) - 4))
-        assert len(x) >= 50 and same >= 0.88 * (len(x) - 4) and r["of_doc_id"] < r["doc_id"]
+        x = shingles_of(a[r["first_word"] : r["first_word"] + r["n_words"]])
+        best = max(lcs(x, y) / (len(x) + len(y) - lcs(x, y)) for extra in range(-17, 18) if (y := shingles_of(b[r["of_first_word"] : r["of_first_word"] + r["n_words"] + extra])))
+        assert len(x) >= 46 and best >= 0.8 and r["of_doc_id"] < r["doc_id"]
+
+
+def shingles_of(words):
+    return [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+
+
+def lcs(x, y):
+    """Length of the longest common subsequence, by bit vectors."""
+    at = collections.defaultdict(int)
+    for k, v in enumerate(x):
+        at[v] |= 1 << k
+    row, full = (1 << len(x)) - 1, (1 << len(x)) - 1
+    for v in y:
+        hit = row & at[v]
+        row = ((row + hit) | (row - hit)) & full
+    return len(x) - row.bit_count()
 
 
 def test_without_repeats(spark, none, odd):
