@@ -81,22 +81,27 @@ def _free(data: bytes, at: int) -> bool:
 
 
 #: Punctuation that ends a run of letters and is a pre-token of its own; none of it is part of a contraction or special token.
-TAIL = b".,;:!?&%$#*"
+TAIL = ".,;:!?&%$#*"
+#: Pre-tokens that the library encodes as one text.
+TOGETHER = 2_000
 
 
-def pre_tokens(word: bytes) -> tuple[bytes, ...]:
-    """A run of letters and the punctuation after it apart, as the vocabularies cut them; any other word whole.
+def pre_tokens(words):
+    """(heads, tails) of an Arrow array of words: a run of letters and the punctuation after it apart, any other word whole.
 
     ASCII letters come in lower case, as the normaliser makes them, so that The, the. and the share one encoding.
     """
-    stem = word.rstrip(TAIL)
-    if stem.isalpha():
-        head = stem if stem.islower() else stem.lower()
-    elif stem and stem.decode().isalpha():
-        head = stem
-    else:
-        return (word,)
-    return (head, word[len(stem) :]) if len(stem) < len(word) else (head,)
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    stem = pc.utf8_rtrim(words, characters=TAIL)
+    letters = pc.and_(pc.utf8_is_alpha(stem), pc.greater(pc.binary_length(stem), 0))
+    heads = pc.if_else(letters, pc.if_else(pc.string_is_ascii(stem), pc.ascii_lower(stem), stem), words)
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset + 1 : words.offset + 1 + len(words)].astype(np.int64)
+    size = np.where(letters.to_numpy(zero_copy_only=False), (pc.binary_length(words).to_numpy() - pc.binary_length(stem).to_numpy()).astype(np.int64), 0)
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)[runs_from(ends - size, size)]
+    tails = pa.Array.from_buffers(pa.utf8(), len(words), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(data)])
+    return heads, tails
 
 
 class Growing:
@@ -182,13 +187,16 @@ class Codec:
             size = np.array([len(names.get(i, b"")) for i in range(max(names) + 1)], dtype=np.int64)
             self.name_bytes = np.frombuffer(b"".join(names[i] for i in sorted(names)), dtype=np.uint8)
             self.name_size, self.name_start = size, np.cumsum(size) - size
-            #: Bytes that a token of ASCII stands for: a character each, without the mark of a word's end.
-            self.name_covers = np.array([len(t.decode().rstrip(" ").removesuffix(self.tokenizer.model.end_of_word_suffix or "")) for t in (names.get(i, b"") for i in range(len(size)))], dtype=np.int64)
+            #: Bytes that a token stands for: a character of its name each, without the mark of a word's end; and whether it has that.
+            end = self.tokenizer.model.end_of_word_suffix or "\0"
+            spelt = [names.get(i, b"").decode().rstrip(" ") for i in range(len(size))]
+            self.name_covers = np.array([len(t.removesuffix(end)) for t in spelt], dtype=np.int64)
+            self.name_ends = np.array([t.endswith(end) for t in spelt], dtype=bool)
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.pieces: dict[bytes, int] = {}
+        self.pieces: dict[str, int] = {}
         self.held = 0
         #: Of each word: its first and second pre-token (or -1), and where the second begins.
         self.words = Growing(3)
@@ -217,56 +225,76 @@ class Codec:
         out[1:] = chars[offsets + np.repeat(first, counts)] + np.repeat(np.array(shift, dtype=np.int64) - begin, counts)
         return np.split(out, np.cumsum(counts)[:-1], axis=1)
 
-    def learn(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word; those not met yet are encoded, together."""
+    def learn(self, words) -> np.ndarray:
+        """The number of each of different words (an Arrow array); those not met yet are encoded, together."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         if self.held > REMEMBERED:
             self.forget()
-        index, pieces, asked, made = self.index, self.pieces, [], []
-        for w in words:
-            if w not in index:
-                index[w] = len(index)
-                ps = pre_tokens(w)
-                for p in ps:
-                    if p not in pieces:
-                        pieces[p] = len(pieces)
-                        asked.append(p)
-                        self.held += len(p)
-                made.append((pieces[ps[0]], pieces[p] if len(ps) > 1 else -1, len(ps[0])))
-                self.held += len(w)
-        if made:
-            self.words.add(np.array(made, dtype=np.int64).T)
-            found, counts = self.pretokens(asked)
-            self.places.add(np.stack([self.tokens.n + np.cumsum(counts) - counts, counts]))
-            self.tokens.add(found)
-        return np.array([index[w] for w in words], dtype=np.int64)
-
-    def pretokens(self, asked: list[bytes]) -> tuple[Tokens, np.ndarray]:
-        """(tokens of all, number of each) of pre-tokens, as bytes from their own start on."""
-        texts = [p.decode() for p in asked]
-        rows = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.array([len(r) for r in rows], dtype=np.int64)
-        ids = np.array([i for r in rows for i in r], dtype=np.int64)
-        length = np.array([len(p) for p in asked], dtype=np.int64)
-        begin, ends = np.cumsum(length) - length, np.cumsum(counts)
-        out = np.empty((3, len(ids)), dtype=np.int64)
-        out[0] = ids
-        # tokens of what the normaliser leaves alone follow one another byte by byte, and stand for whole characters
-        size = self.name_covers[ids]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        own = np.repeat(begin, counts)
-        last = upto[1:] - np.repeat(upto[ends - counts], counts)
-        odd = upto[ends] - upto[ends - counts] != length
-        odd |= np.array([not (t.isascii() or (t.lower() == t and unicodedata.is_normalized("NFC", t))) for t in texts], dtype=bool)
-        data = np.append(np.frombuffer(b"".join(asked), dtype=np.uint8), np.uint8(0))
-        starts = np.flatnonzero((data & 0xC0) != 0x80)
-        fits = ~np.repeat(odd, counts)
-        first, last = (own + last - size)[fits], (own + last)[fits]
-        out[1, fits] = starts[np.searchsorted(starts, first, side="right") - 1] - own[fits]
-        out[2, fits] = starts[np.searchsorted(starts, last)] - own[fits]
-        if odd.any():
-            which = np.flatnonzero(odd).tolist()
-            out[:, ~fits] = np.concatenate(self.located([asked[k] for k in which], [0] * len(which)), axis=1)
-        return out, counts
+        index, pieces = self.index, self.pieces
+        listed = words.cast(pa.binary()).to_pylist()
+        new = [w for w in listed if w not in index]
+        if new:
+            index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
+            heads, tails = pre_tokens(pa.array(new, type=pa.binary()).cast(pa.utf8()))
+            size = pc.binary_length(heads).to_numpy().astype(np.int64)
+            second = np.flatnonzero(pc.binary_length(tails).to_numpy())
+            met = pa.concat_arrays([heads, tails.take(pa.array(second))]).dictionary_encode()
+            parts = met.dictionary.to_pylist()
+            asked = [p for p in parts if p not in pieces]
+            pieces.update(zip(asked, range(len(pieces), len(pieces) + len(asked)), strict=True))
+            number = np.array([pieces[p] for p in parts], dtype=np.int64)[met.indices.to_numpy()]
+            made = np.stack([number[: len(new)], np.full(len(new), -1, dtype=np.int64), size])
+            made[1, second] = number[len(new) :]
+            self.words.add(made)
+            if asked:
+                found, counts, starts = self.pretokens(asked)
+                self.places.add(np.stack([self.tokens.n + starts, counts]))
+                self.tokens.add(found)
+            self.held += sum(map(len, new)) + sum(map(len, asked))
+        return np.array([index[w] for w in listed], dtype=np.int64)
+
+    def pretokens(self, asked: list[str]) -> tuple[Tokens, np.ndarray, np.ndarray]:
+        """(tokens, number of each, where each's begin) of parts of words, as bytes from their own start on.
+
+        Runs of letters or of TAIL that the normaliser leaves alone are one pre-token each, so many are encoded as one text and
+        told apart by the marks of words' ends; their tokens follow one another byte by byte, and stand for whole characters.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        array = pa.array(asked, type=pa.utf8())
+        single = pc.or_(pc.utf8_is_alpha(array), pc.equal(pc.utf8_rtrim(array, characters=TAIL), "")).to_numpy(zero_copy_only=False)
+        ascii_ = pc.string_is_ascii(array).to_numpy(zero_copy_only=False)
+        single &= np.array([a or (t.lower() == t and unicodedata.is_normalized("NFC", t)) for a, t in zip(ascii_.tolist(), asked, strict=True)], dtype=bool)
+        counts, starts = np.zeros(len(asked), dtype=np.int64), np.zeros(len(asked), dtype=np.int64)
+        out = NONE
+        which = np.flatnonzero(single)
+        if len(which):
+            texts = array.take(pa.array(which)).to_pylist()
+            rows = self.tokenizer.encode_batch_fast([" ".join(texts[k : k + TOGETHER]) for k in range(0, len(texts), TOGETHER)], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype=np.int64) for e in rows])
+            ends = np.flatnonzero(self.name_ends[ids]) + 1
+            size = self.name_covers[ids]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            bytes_ = pc.binary_length(pa.array(texts)).to_numpy().astype(np.int64)
+            if len(ends) == len(which) and ends[-1] == len(ids) and (np.diff(upto[ends], prepend=0) == bytes_).all():
+                counts[which] = np.diff(ends, prepend=0)
+                starts[which] = ends - counts[which]
+                own = np.repeat(np.cumsum(bytes_) - bytes_, counts[which])
+                chars = np.frombuffer("".join(texts).encode() + b"\0", dtype=np.uint8)
+                chars = np.flatnonzero((chars & 0xC0) != 0x80)
+                out = np.stack([ids, chars[np.searchsorted(chars, upto[:-1], side="right") - 1] - own, chars[np.searchsorted(chars, upto[1:])] - own])
+            else:
+                single[:] = False
+        which = np.flatnonzero(~single)
+        if len(which):
+            found = self.located([asked[k].encode() for k in which.tolist()], [0] * len(which))
+            counts[which] = [t.shape[1] for t in found]
+            starts[which] = out.shape[1] + np.cumsum(counts[which]) - counts[which]
+            out = np.concatenate([out, *found], axis=1)
+        return out, counts, starts
 
     def leaves(self, data: bytes, bounds: np.ndarray) -> tuple[Tokens, np.ndarray]:
         """(tokens of all leaves, where each leaf's end) of the leaves data[bounds[k]:bounds[k + 1]]."""
@@ -283,8 +311,8 @@ class Codec:
             starts = np.flatnonzero(first)
             rows = pa.Array.from_buffers(pa.utf8(), len(size), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
             words = pc.ascii_split_whitespace(rows).flatten()
-            words = words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary()).dictionary_encode()
-            number = self.learn(words.dictionary.to_pylist())
+            words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+            number = self.learn(words.dictionary)
             both = self.words.data[:, number[words.indices.to_numpy()]]
             piece = both[:2].T.ravel()
             begin = np.stack([starts, starts + both[2]], axis=1).ravel()[piece >= 0]
