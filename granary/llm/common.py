@@ -42,27 +42,38 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-#: Rows of a batch between Spark and Python at most. Texts are long, and both sides hold a batch or two for each task.
+#: Rows, and bytes, of a batch between Spark and Python at most. Texts are long, and both sides hold a batch or two for each task.
 ARROW_ROWS = 500
+ARROW_BYTES = 16 << 20
 
 
 def lean(spark: SparkSession) -> None:
-    """Bounds the batches that the session's Python stages take; Spark's default of 10,000 rows is made for narrow ones."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name, "10000"))
-    if now <= 0 or now > ARROW_ROWS:
-        spark.conf.set(name, str(ARROW_ROWS))
+    """Bounds the batches that the session's Python stages take from now on, unless they are bounded lower; Spark's default of 10,000 rows is made for narrow ones."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = spark.conf.get(name, None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(name, str(most))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir, so that losing an executor loses no rows.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    The setting is read from the session; only where it is unset (tests on one machine) a temporary folder is used.
+    Where it is unset, as in tests, a session on one machine uses a temporary folder; any other is refused.
     """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="granary-")
+    return found.rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df written to the folder of spark.checkpoint.dir, so that losing an executor loses no rows."""
     spark = df.sparkSession
     lean(spark)
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="granary-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
