@@ -6,12 +6,12 @@ costs the tasks of one stage. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm import bpe, jaccard, mixing, passages, quality
+from granary.llm.common import shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over all documents. Stages are kept in the folder of spark.checkpoint.dir."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="granary-stages-")
-    place = f"{shared.rstrip('/')}/stages-{uuid.uuid4().hex}"
+    place = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{place}/{number}-{name}"
