@@ -64,6 +64,12 @@ def match_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(strip_accents(c)), "[^a-z0-9]", "")
 
 
+def latin_key(c: Column) -> Column:
+    """K12 for Latin-1 text without a UDF, so for use in a lambda."""
+    plain = F.translate(F.lower(c), "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
+    return F.regexp_replace(plain, "[^a-z0-9]", "")
+
+
 def slug(c: Column) -> Column:
     """Runs of other characters as one dash, none at the ends."""
     return F.btrim(F.regexp_replace(F.lower(strip_accents(c)), "[^a-z0-9]+", "-"), F.lit("-"))

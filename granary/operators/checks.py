@@ -1,4 +1,4 @@
-"""Audit checks: each is a table of problems with a number of occurrences; a run counts all of them in one pass over each."""
+"""Audit checks: tables of problems with numbers of occurrences. Checks of single rows of a table share one scan of it."""
 
 from __future__ import annotations
 
@@ -28,6 +28,13 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(c) for c in checks])
 
 
+def row_checks(df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Findings, as of run_checks, of checks that look at single rows: (code, severity, condition; null is no problem)."""
+    counts = df.agg(*[F.count_if(F.coalesce(holds, F.lit(False))).alias(code) for code, _, holds in rules])
+    each = F.explode(F.array(*[F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.col(code).alias("groups"), F.col(code).alias("occurrences")) for code, severity, _ in rules]))
+    return counts.select(each.alias("x")).select("x.*")
+
+
 def verdict(findings: DataFrame) -> DataFrame:
     """Findings by severity, and inconsistent / consistent_with_alerts / consistent."""
     hit = F.col("occurrences") > 0
@@ -89,3 +96,11 @@ def suspicious(low: str, common: str, high: str, date: str, today: str, exempt:
     a, b, c = F.col(low), F.col(common), F.col(high)
     zero = reduce(lambda x, y: x | y, [F.coalesce(p == 0, F.lit(False)) for p in (a, b, c)])
     return [("zero_price", zero), ("incomplete", partial_prices(low, common, high) & ~exempt), ("wide_range", (a > 0) & (c / a > 100)), ("future_date", F.col(date) > F.lit(today).cast("date"))]
+
+
+def metadata_checks(props: DataFrame, asked: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """C14: name, holds of properties (name, value) that must be there, with that value unless it is None."""
+    want = props.sparkSession.createDataFrame([(k, name, value) for k, (name, value) in asked.items()], "check string, name string, want string")
+    met = want.join(props, "name", "left")
+    there = F.col("value").isNotNull() & (F.col("want").isNull() | (F.col("value") == F.col("want")))
+    return met.select(F.col("check").alias("name"), there.alias("holds"))

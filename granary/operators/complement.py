@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,15 +16,15 @@ class Complement(NamedTuple):
     metrics: DataFrame
 
 
-def complement(saved: DataFrame, feed: DataFrame) -> Complement:
-    """saved: id, market, day, product, unit, price (null: a target), destination. feed: ordinal, market, day, product, unit, price.
+def complement(saved: DataFrame, feed: DataFrame, own: Column | None = None) -> Complement:
+    """own: a condition on saved rows that came from the feed itself (F10); they neither are targets nor hold keys. saved: id, market, day, product, unit, price (null: a target), destination. feed: ordinal, market, day, product, unit, price.
 
     Saved rows without a market or unit can't be matched (unmapped). A key that several targets share is ambiguous and never
     filled. Feed rows lacking a part are skipped; of the rows with one key the first counts. Every mapped saved key, matched
     or ambiguous, keeps its feed rows from the fallback; the destination of a fallback is the least id of its market and day.
     """
     key = ["market", "day", "product", "unit"]
-    dated = saved.filter(F.col("day").isNotNull())
+    dated = saved.filter(F.col("day").isNotNull() if own is None else F.col("day").isNotNull() & ~F.coalesce(own, F.lit(False)))
     mapped = dated.filter(F.col("market").isNotNull() & F.col("unit").isNotNull())
     targets = dated.filter(F.col("price").isNull())
     per = mapped.filter(F.col("price").isNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))

@@ -111,12 +111,15 @@ def build_provenance(df: DataFrame, keys: Sequence[str], id_col: str, upto: int)
 
 
 def ambiguous_groups(df: DataFrame, prov: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
-    """Groups whose originals aren't each covered once, or whose targets aren't the one canonical row."""
-    rows = with_canonical(df, keys, id_col)
-    met = rows.join(prov.select("origin_id", "quote_id"), rows[id_col] == F.col("origin_id"), "left")
-    g = met.groupBy(*keys).agg(
-        F.countDistinct(id_col).alias("originals"), F.countDistinct("origin_id").alias("covered"), F.countDistinct("quote_id").alias("targets"), F.min("quote_id").alias("target"), F.min("canonical_id").alias("canonical")
+    """Groups whose originals aren't each covered, or whose targets (0, 1 or 2: several) aren't the one canonical row."""
+    met = df.join(prov.select("origin_id", "quote_id"), F.col(id_col) == F.col("origin_id"), "left")
+    # an id is covered by all of its provenance rows, so ids are counted once each and no distinct counts are needed for them
+    once = met.groupBy(*keys, id_col).agg(F.max("origin_id").alias("origin_id"), F.min("quote_id").alias("low"), F.max("quote_id").alias("high"))
+    g = once.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("originals"), F.count("origin_id").alias("covered"), F.min("low").alias("target"), F.max("high").alias("last"), F.min(id_col).alias("canonical")
     )
+    one = F.when(F.col("target").isNull(), 0).when(F.col("target") == F.col("last"), 1).otherwise(2)
+    g = g.withColumn("targets", one.cast("long")).drop("last")
     return g.filter((F.col("originals") != F.col("covered")) | (F.col("targets") != 1) | (F.col("target") != F.col("canonical")))
 
 
@@ -141,6 +144,23 @@ def invalid_provenance(df: DataFrame, prov: DataFrame, keys: Sequence[str], id_c
     return out.withColumn("problem", problem).filter("problem is not null").select("origin_id", "quote_id", "problem")
 
 
+def invalid_history(df: DataFrame, prov: DataFrame, collections: DataFrame, keys: Sequence[str], id_col: str, collection: str, checkpoint: int, prefix: str) -> DataFrame:
+    """The first of eight faults of each historical provenance row (origin_id, quote_id, a collection, key); sound rows are left out.
+
+    collections: id. The origin lies in 1 to the checkpoint, the key is the prefix and it, target and collection are known,
+    and of a known origin the collection is its own and the target its group's canonical row.
+    """
+    rows = with_canonical(df, keys, id_col).select(F.col(id_col).alias("_id"), F.col(collection).alias("_of"), "canonical_id")
+    there, known = df.select(F.col(id_col).alias("_target")), collections.select(F.col("id").alias("_known"))
+    o, c = F.col("origin_id"), F.col
+    out = prov.join(rows, o == c("_id"), "left").join(there, c("quote_id") == c("_target"), "left").join(known, c(collection) == c("_known"), "left")
+    problem = (
+        F.when(o.isNull(), "no_origin").when(o < 1, "origin_below_one").when(o > checkpoint, "origin_beyond_checkpoint").when(~c("key").eqNullSafe(F.concat(F.lit(prefix), o.cast("string"))), "key").when(c("_target").isNull(), "unknown_target")
+        .when(c("_known").isNull(), "unknown_collection").when(c("_id").isNotNull() & ~c(collection).eqNullSafe(c("_of")), "other_collection").when(c("_id").isNotNull() & ~c("quote_id").eqNullSafe(c("canonical_id")), "not_canonical")
+    )
+    return out.withColumn("problem", problem).filter("problem is not null").select("origin_id", "quote_id", collection, "key", "problem")
+
+
 def baseline(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """The first row of each group."""
     return with_canonical(df, keys, id_col).filter("position = 1").drop("canonical_id", "group_size", "position")

@@ -71,3 +71,17 @@ def first_hit(wanted: DataFrame, evidence: DataFrame, key: str, order: Sequence[
     """Each wanted row with the first evidence of its key in that order, or nulls."""
     per = evidence.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_n = 1").drop("_n").withColumnRenamed(key, "_k")
     return wanted.join(per, wanted[key].eqNullSafe(per["_k"]), "left").drop("_k")
+
+
+def numbered(df: DataFrame, bucket: Column, order: Sequence[str | Column], out: str) -> DataFrame:
+    """df with numbers 1, 2, ... in an order, without a task that sees all rows.
+
+    bucket grows with the order (rows of lower buckets come first); rows are numbered within theirs, and a bucket begins
+    after the rows of all lower ones. There is one row for each bucket in the window over the counts.
+    """
+    rows = df.withColumn("_bucket", bucket)
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)))
+    return inside.join(starts, F.col("_bucket").eqNullSafe(F.col("_of"))).withColumn(out, F.col("_start") + F.col("_at")).drop("_bucket", "_of", "_start", "_at")

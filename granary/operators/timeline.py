@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .relations import numbered
+
 
 def date_gaps(df: DataFrame, scope: Sequence[str], date: str, least: int, inclusive: bool = True) -> DataFrame:
     """W4 (inclusive: days between two dates), W5 (not: days without data between them): gaps of at least that many days."""
@@ -70,11 +72,11 @@ def plan_retention(files: DataFrame, layer: str, date: str, days: dict[str, int]
     return rows.withColumn("action", F.when(~F.col("old"), "keep").when(newest, "protected").otherwise("expired")).drop("old")
 
 
-def log_retention(files: DataFrame, at: str, days: int, most: int, today: str) -> DataFrame:
-    """Files past an age or beyond a rank by age go."""
-    rank = F.row_number().over(Window.orderBy(F.col(at).desc()))
-    old = F.date_diff(F.lit(today).cast("date"), F.col(at)) > days
-    return files.withColumn("rank", rank).withColumn("action", F.when(old | (F.col("rank") > most), "expired").otherwise("keep"))
+def log_retention(files: DataFrame, at: str, days: int, most: int, today: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Files past an age or beyond a rank by age go; files of one time rank by ties."""
+    age = F.date_diff(F.lit(today).cast("date"), F.col(at))
+    old = age > days
+    return numbered(files, age, [F.col(at).desc(), *ties], "rank").withColumn("action", F.when(old | (F.col("rank") > most), "expired").otherwise("keep"))
 
 
 def select_per_day(files: DataFrame, day: str, order: Sequence[Column], cutoff: str, today: str) -> DataFrame:
@@ -94,9 +96,14 @@ def inventory_diff(before: DataFrame, after: DataFrame, path: str, size: str, di
     return out.withColumn("state", F.when(F.col("was").isNull(), "new").when(F.col("now").isNull(), "lost").when(equal, "kept").otherwise("changed")).select("path", "state")
 
 
-def contiguous_batches(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
-    """K ordered batches, the first ones with one more."""
-    return df.withColumn("batch", F.ntile(k).over(Window.orderBy(*order)))
+def contiguous_batches(df: DataFrame, bucket: Column, order: Sequence[str], k: int) -> DataFrame:
+    """K ordered batches, the first ones with one more. bucket grows with the order, so that no task numbers all rows."""
+    n = df.agg(F.count(F.lit(1)).alias("_all"))
+    least, more = F.floor(F.col("_all") / k), F.col("_all") % k
+    at = F.col("_i") - 1
+    long = more * (least + 1)
+    batch = F.when(at < long, F.floor(at / (least + 1))).otherwise(more + F.floor((at - long) / F.greatest(least, F.lit(1)))) + 1
+    return numbered(df, bucket, order, "_i").crossJoin(F.broadcast(n)).withColumn("batch", batch.cast("int")).drop("_i", "_all")
 
 
 def incremental(df: DataFrame, id_col: str, watermark: int | None, reference: bool = False) -> DataFrame:

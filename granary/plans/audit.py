@@ -115,8 +115,8 @@ def _(spark, sf):
 # --- integrity of collections and quotes -----------------------------------------------------------------------------
 
 
-def bad_status(c: DataFrame) -> DataFrame:
-    """Fields that don't go with the status."""
+def bad_status():
+    """Fields that don't go with the status, or times that are none."""
     f = F.col
     none = lambda x: f(x).isNull()
     there = lambda x: f(x).isNotNull()
@@ -130,12 +130,13 @@ def bad_status(c: DataFrame) -> DataFrame:
         | ((status == "processing_error") & (none("downloaded_at") | none("error")))
         | F.coalesce(f("processed_at") < f("downloaded_at"), F.lit(False))
     )
-    return c.filter(bad)
+    time = lambda x: values.valid_time(F.concat(f(x).cast("string"), F.lit("T00:00:00")))
+    return bad | ~time("started_at") | (there("downloaded_at") & ~time("downloaded_at")) | (there("processed_at") & ~time("processed_at"))
 
 
 _C1 = """status = 'duplicate' AND (duplicate_of IS NULL OR sha256 IS NULL) OR status <> 'duplicate' AND duplicate_of IS NOT NULL
  OR status = 'processed' AND (processed_at IS NULL OR downloaded_at IS NULL OR raw_path IS NULL OR sha256 IS NULL) OR status = 'pending' AND (processed_at IS NOT NULL OR error IS NOT NULL)
- OR status = 'download_error' AND (downloaded_at IS NOT NULL OR error IS NULL) OR status = 'processing_error' AND (downloaded_at IS NULL OR error IS NULL) OR coalesce(processed_at < downloaded_at, false)"""
+ OR status = 'download_error' AND (downloaded_at IS NOT NULL OR error IS NULL) OR status = 'processing_error' AND (downloaded_at IS NULL OR error IS NULL) OR coalesce(processed_at < downloaded_at, false) OR started_at IS NULL"""
 
 
 def bad_duplicate(c: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def bad_duplicate(c: DataFrame) -> DataFrame:
 
 
 _C4 = "collections c LEFT JOIN collections o ON o.id = c.duplicate_of WHERE c.status = 'duplicate' AND (o.id IS NULL OR o.source_id <> c.source_id OR o.sha256 IS DISTINCT FROM c.sha256 OR o.status = 'duplicate' OR o.raw_path IS NULL)"
-_C8_KEY = ["collection_id", "market_id", "product_id", "presentation", "quote_date", "variety", "market_status", "p_min", "p_common", "p_max"]
+_C8_KEY = ["collection_id", "market_id", "product_id", "presentation", "quote_date", "variety", "category", "alias", "p_min", "p_common", "p_max", "market_status"]
 
 
 #: code, severity, problems in SQL with the occurrences n of each row
@@ -164,23 +165,23 @@ _RULES = [
 ]
 
 
-def integrity_checks(spark, sf) -> list[ck.Check]:
-    """C1 to C9 over the collection model."""
+def findings(spark, sf) -> DataFrame:
+    """C1 to C9 over the collection model: one scan of collections and one of quotes for single rows, one aggregation a group check."""
     c, q = collections(spark, sf), quotes(spark, sf)
-    status = c.select(F.col("id").alias("c_id"), "status")
+    severity = {code: s for code, s, _ in _RULES}
+    rule = lambda code, holds: (code, severity[code], holds)
+    rows = ck.row_checks(c, [rule("c1_status_fields", bad_status()), rule("c2_sha256", F.col("sha256").isNotNull() & ~values.valid_sha256(F.col("sha256"))), rule("c6_pending", F.col("status") == "pending")])
+    dated = q.join(c.select(F.col("id").alias("c_id"), "status"), F.col("collection_id") == F.col("c_id"), "left")
+    reject = ck.price_rejects("p_min", "p_common", "p_max", "quote_date").isNotNull()
+    of_quotes = ck.row_checks(dated, [rule("c7_quote_outside_processed", F.col("status") != "processed"), rule("c9_values", reject)])
     excess = F.col("occurrences") - 1
-    problems = {
-        "c1_status_fields": (bad_status(c), None),
-        "c2_sha256": (c.filter(F.col("sha256").isNotNull() & ~values.valid_sha256(F.col("sha256"))), None),
+    groups = {
         "c3_canonical_documents": (dup.duplicate_groups(c.filter("status <> 'duplicate' and raw_path is not null and sha256 is not null"), ["source_id", "sha256"]), excess),
         "c4_duplicate_reference": (bad_duplicate(c), None),
         "c5_repeated_path": (dup.duplicate_groups(c.filter("raw_path is not null"), ["raw_path"]), excess),
-        "c6_pending": (c.filter("status = 'pending'"), None),
-        "c7_quote_outside_processed": (q.join(status, F.col("collection_id") == F.col("c_id")).filter("status <> 'processed'"), None),
         "c8_identical_in_collection": (dup.duplicate_groups(q, _C8_KEY), excess),
-        "c9_values": (q.filter(ck.price_rejects("p_min", "p_common", "p_max", "quote_date").isNotNull()), None),
     }
-    return [ck.check(code, severity, *problems[code]) for code, severity, _ in _RULES]
+    return rows.unionByName(of_quotes).unionByName(ck.run_checks([ck.check(code, severity[code], *x) for code, x in groups.items()]))
 
 
 _COUNT = " UNION ALL ".join(f"SELECT '{code}' AS code, '{severity}' AS severity, count(*) AS groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS occurrences FROM ({sql})" for code, severity, sql in _RULES)
@@ -189,7 +190,7 @@ _FINDINGS = f"{WITH_ALL}, findings AS ({_COUNT})"
 
 @query("c_checks_run", f"{_FINDINGS} SELECT * FROM findings")
 def _(spark, sf):
-    return ck.run_checks(integrity_checks(spark, sf))
+    return findings(spark, sf)
 
 
 @query(
@@ -197,12 +198,12 @@ def _(spark, sf):
     f"{_FINDINGS}, n AS (SELECT count(*) FILTER (WHERE occurrences > 0 AND severity = 'error') AS errors, count(*) FILTER (WHERE occurrences > 0 AND severity = 'alert') AS alerts, count(*) FILTER (WHERE occurrences > 0 AND severity = 'info') AS infos FROM findings) SELECT *, CASE WHEN errors > 0 THEN 'inconsistent' WHEN alerts > 0 THEN 'consistent_with_alerts' ELSE 'consistent' END AS verdict FROM n",
 )
 def _(spark, sf):
-    return ck.verdict(ck.run_checks(integrity_checks(spark, sf)))
+    return ck.verdict(findings(spark, sf))
 
 
 @query("c1_status_fields", f"WITH {COLLECTIONS} SELECT id, status FROM collections WHERE {_C1}")
 def _(spark, sf):
-    return bad_status(collections(spark, sf)).select("id", "status")
+    return collections(spark, sf).filter(bad_status()).select("id", "status")
 
 
 @query("c4_duplicate_reference", f"WITH {COLLECTIONS} SELECT c.id, c.duplicate_of FROM {_C4}")
@@ -221,13 +222,13 @@ def _(spark, sf):
 
 @query(
     "c11_invalid_complements",
-    f"""{WITH_ALL}, k AS (SELECT id AS quote_id, CASE WHEN id % 4 = 0 THEN 'p_min' ELSE 'p_common' END AS field, CASE WHEN id % 6 = 0 THEN '1' END AS old_value, CASE WHEN id % 9 = 0 THEN ' ' WHEN id % 10 = 1 THEN '-3' ELSE CAST(p_common AS VARCHAR) END AS new_value, collection_id, p_common FROM quotes WHERE id % 3 = 0)
+    f"""{WITH_ALL}, k AS (SELECT id AS quote_id, CASE WHEN id % 4 = 0 THEN 'p_min' ELSE 'p_common' END AS field, CASE WHEN id % 6 = 0 THEN '1' END AS old_value, CASE WHEN id % 9 = 0 THEN ' ' WHEN id % 10 = 1 THEN '-3' ELSE CAST(p_common AS VARCHAR) END AS new_value, collection_id, p_common FROM quotes)
     SELECT quote_id FROM k LEFT JOIN collections c ON c.id = k.collection_id WHERE field <> 'p_common' OR old_value IS NOT NULL OR new_value IS NULL OR trim(new_value) = '' OR NOT coalesce(TRY_CAST(new_value AS DECIMAL(38,10)) >= 0, false)
     OR p_common IS NULL OR p_common IS DISTINCT FROM TRY_CAST(new_value AS DECIMAL(18,4)) OR c.status IS DISTINCT FROM 'processed'""",
 )
 def _(spark, sf):
     i = F.col("id")
-    k = quotes(spark, sf).filter(i % 3 == 0).select(
+    k = quotes(spark, sf).select(
         i.alias("quote_id"), F.when(i % 4 == 0, "p_min").otherwise("p_common").alias("field"), F.when(i % 6 == 0, "1").alias("old_value"),
         F.when(i % 9 == 0, " ").when(i % 10 == 1, "-3").otherwise(F.col("p_common").cast("string")).alias("new_value"), "collection_id", "p_common",
     )
@@ -325,9 +326,9 @@ def _(spark, sf):
     return collections(spark, sf).filter(~values.valid_sha256(s)).select("id", F.when(s.isNull(), "missing").otherwise("malformed").alias("problem"))
 
 
-@query("d6_alias_names", "SELECT p_partkey, p_name FROM part WHERE trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) <> p_name")
+@query("d6_alias_names", "SELECT c_custkey, c_name FROM customer WHERE trim(regexp_replace(lower(c_name), '\\s+', ' ', 'g')) <> c_name")
 def _(spark, sf):
-    return table(spark, sf, "part").filter(tx.basic_name(F.col("p_name")) != F.col("p_name")).select("p_partkey", "p_name")
+    return table(spark, sf, "customer").filter(tx.basic_name(F.col("c_name")) != F.col("c_name")).select("c_custkey", "c_name")
 
 
 @query(
@@ -356,9 +357,60 @@ def _(spark, sf):
     return ck.each_problem(q, ck.price_order("p_min", "p_common", "p_max")).select("id", "problem")
 
 
-@query("d10_key_parts", "SELECT p_partkey AS id, col AS \"column\", problem FROM (SELECT p_partkey, col, CASE WHEN trim(v) = '' THEN 'blank' WHEN instr(v, '#') > 0 THEN 'delimiter' END AS problem FROM (SELECT p_partkey, 'p_name' AS col, p_name AS v FROM part UNION ALL SELECT p_partkey, 'p_brand', p_brand FROM part UNION ALL SELECT p_partkey, 'p_type', p_type FROM part)) WHERE problem IS NOT NULL")
+#: Text columns that keys are made of, by table and its key.
+_PARTS = {
+    "nation": ("n_nationkey", ["n_name"]), "region": ("r_regionkey", ["r_name"]), "supplier": ("s_suppkey", ["s_name"]), "customer": ("c_custkey", ["c_name", "c_mktsegment"]), "part": ("p_partkey", ["p_name", "p_brand", "p_type"]),
+    "orders": ("o_orderkey", ["o_orderstatus", "o_orderpriority"]), "events": ("event_id", ["event_type", "props"]), "documents": ("doc_id", ["lang", "source"]), "pages": ("page_id", ["url"]), "conversations": ("conv_id", ["role", "text"]), "benchmark": ("item_id", ["text"]),
+}
+_PARTS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS tab, CAST({k} AS BIGINT) AS id, '{c}' AS col, {c} AS v FROM {t}" for t, (k, cs) in _PARTS.items() for c in cs)
+
+
+@query("d10_key_parts", f"SELECT tab AS \"table\", id, col AS \"column\", problem FROM (SELECT *, CASE WHEN trim(v) = '' THEN 'blank' WHEN instr(v, '#') > 0 THEN 'delimiter' END AS problem FROM ({_PARTS_SQL})) WHERE problem IS NOT NULL")
+def _(spark, sf):
+    from functools import reduce
+
+    one = lambda t, k, cs: ck.text_problems(table(spark, sf, t), k, cs, "#").select(F.lit(t).alias("table"), F.col("id").cast("long").alias("id"), "column", "problem")
+    return reduce(DataFrame.unionByName, [one(t, k, cs) for t, (k, cs) in _PARTS.items()])
+
+
+_D_RULES = [
+    # code, severity, table, condition in SQL
+    ("malformed_hash", "error", "collections", f"sha256 IS NOT NULL AND NOT regexp_matches(sha256, '{_SHA}')"), ("missing_hash", "alert", "collections", "sha256 IS NULL"), ("no_price", "error", "quotes", "coalesce(p_min, p_common, p_max) IS NULL"),
+    ("negative_price", "error", "quotes", "coalesce(p_min < 0, false) OR coalesce(p_common < 0, false) OR coalesce(p_max < 0, false)"), ("min_above_max", "error", "quotes", "p_min > p_max"), ("common_below_min", "alert", "quotes", "p_common < p_min"),
+    ("common_above_max", "alert", "quotes", "p_common > p_max"), ("wide_range", "alert", "quotes", "p_min > 0 AND p_max / p_min > 100"), ("no_market", "info", "quotes", "market_id IS NULL"), ("no_category", "info", "quotes", "category IS NULL"),
+    ("identity_formula", "alert", "quotes", "market_id IS NULL AND variety IS NULL"),
+]
+
+
+@query("d11_domain_findings", f"WITH {QUOTES}, {COLLECTIONS} " + " UNION ALL ".join(f"SELECT '{code}' AS code, '{severity}' AS severity, count(*) AS groups, count(*) AS occurrences FROM {t} WHERE {sql}" for code, severity, t, sql in _D_RULES))
 def _(spark, sf):
-    return ck.text_problems(table(spark, sf, "part"), "p_partkey", ["p_name", "p_brand", "p_type"], "#")
+    s, c = F.col("sha256"), F.col
+    # an identity written without its null parts has another key than the one by rule; both parts null make two keys
+    written = keys.hash_values(*[F.col(x) for x in _IDENTITY if x not in ("market_id", "variety")])
+    by_rule = F.when(c("market_id").isNull() & c("variety").isNull(), _identity()).otherwise(written)
+    holds = {
+        "malformed_hash": s.isNotNull() & ~values.valid_sha256(s), "missing_hash": s.isNull(), "no_price": F.coalesce("p_min", "p_common", "p_max").isNull(), "negative_price": F.least("p_min", "p_common", "p_max") < 0,
+        "wide_range": (c("p_min") > 0) & (c("p_max") / c("p_min") > 100), "no_market": c("market_id").isNull(), "no_category": c("category").isNull(), "identity_formula": written != by_rule, **dict(ck.price_order("p_min", "p_common", "p_max")),
+    }
+    of = lambda t: [(code, severity, holds[code]) for code, severity, where, _ in _D_RULES if where == t]
+    return ck.row_checks(collections(spark, sf), of("collections")).unionByName(ck.row_checks(quotes(spark, sf), of("quotes")))
+
+
+@query("c14_metadata", "SELECT * FROM (VALUES ('index', true), ('marker', true), ('version', false)) t(name, holds)")
+def _(spark, sf):
+    # C14 on a table of properties: the store's version, a migration's marker, an index
+    props = spark.createDataFrame([("user_version", "3"), ("marker:history", "done"), ("index:quotes_by_source", "")], "name string, value string")
+    return ck.metadata_checks(props, {"version": ("user_version", "4"), "marker": ("marker:history", "done"), "index": ("index:quotes_by_source", None)})
+
+
+@query("l9_report_order", f"WITH {QUOTES}, g AS (SELECT source_id, line, count(*) AS n, max(quote_date) AS last FROM quotes GROUP BY ALL) SELECT *, row_number() OVER (ORDER BY n DESC, last, source_id, line) AS place FROM g ORDER BY n DESC, last, source_id, line LIMIT 40")
+def _(spark, sf):
+    from pyspark.sql import Window
+
+    g = quotes(spark, sf).groupBy("source_id", "line").agg(F.count(F.lit(1)).alias("n"), F.max("quote_date").alias("last"))
+    order = [F.col("n").desc(), F.col("last"), F.col("source_id"), F.col("line")]
+    top = g.orderBy(*order).limit(40)  # the report is a top list; its places are numbered within it
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)))
 
 
 @query("f1_f2_rejections", f"WITH {QUOTES} SELECT CASE WHEN quote_date IS NULL THEN 'missing_date' WHEN coalesce(p_min, p_common, p_max) IS NULL THEN 'no_price' WHEN coalesce(p_min < 0, false) OR coalesce(p_common < 0, false) OR coalesce(p_max < 0, false) THEN 'negative_price' END AS reason, count(*) AS n FROM quotes GROUP BY 1")
@@ -403,11 +455,12 @@ def _(spark, sf):
 
 @query(
     "j15_set_algebra",
-    f"WITH {QUOTES}, e AS (SELECT DISTINCT product_id, line FROM quotes WHERE id % 2 = 0), p AS (SELECT DISTINCT product_id, line FROM quotes WHERE id % 3 = 0) SELECT coalesce(e.product_id, p.product_id) AS product_id, coalesce(e.line, p.line) AS line, e.line IS NOT NULL AS in_expected, p.line IS NOT NULL AS in_parsed, CASE WHEN e.line IS NULL THEN 'unexpected' WHEN p.line IS NULL THEN 'missing' ELSE 'both' END AS class FROM e FULL JOIN p ON e.product_id = p.product_id AND e.line = p.line",
+    f"WITH {QUOTES}, e AS (SELECT DISTINCT product_id, CAST(line AS BIGINT) AS line FROM quotes), p AS (SELECT p_partkey AS product_id, CAST(p_size % 9 AS BIGINT) AS line FROM part) SELECT coalesce(e.product_id, p.product_id) AS product_id, coalesce(e.line, p.line) AS line, e.line IS NOT NULL AS in_expected, p.line IS NOT NULL AS in_parsed, CASE WHEN e.line IS NULL THEN 'unexpected' WHEN p.line IS NULL THEN 'missing' ELSE 'both' END AS class FROM e FULL JOIN p ON e.product_id = p.product_id AND e.line = p.line",
 )
 def _(spark, sf):
-    q = quotes(spark, sf)
-    return rel.set_algebra(q.filter("id % 2 = 0"), q.filter("id % 3 = 0"), ["product_id", "line"])
+    line = lambda c: c.cast("long").alias("line")
+    expected = quotes(spark, sf).select("product_id", line(F.col("line")))
+    return rel.set_algebra(expected, table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), line(F.col("p_size") % 9)), ["product_id", "line"])
 
 
 @query("j16_latest_not_after", f"{WITH_QUOTES} SELECT s.source_id, max(quote_date) FILTER (WHERE quote_date <= DATE '1998-06-15') AS latest FROM sources s LEFT JOIN quotes USING (source_id) GROUP BY s.source_id")
@@ -417,23 +470,22 @@ def _(spark, sf):
 
 @query(
     "j17_pair_by_rank",
-    f"WITH {QUOTES}, e AS (SELECT id AS expected_id, product_id, variety, row_number() OVER (PARTITION BY product_id, variety ORDER BY id) AS position FROM quotes WHERE id % 3 <> 0), s AS (SELECT id AS stored_id, product_id, variety, row_number() OVER (PARTITION BY product_id, variety ORDER BY id) AS position FROM quotes WHERE id % 3 = 0) SELECT expected_id, e.product_id, e.variety, e.position, stored_id, CASE WHEN stored_id IS NULL THEN 'insert' ELSE 'update' END AS action FROM e LEFT JOIN s ON e.product_id = s.product_id AND e.variety IS NOT DISTINCT FROM s.variety AND e.position = s.position",
+    f"WITH {QUOTES}, x AS (SELECT id AS expected_id, product_id, CASE WHEN market_status = 'O' THEN 'N' ELSE variety END AS variety FROM quotes), e AS (SELECT *, row_number() OVER (PARTITION BY product_id, variety ORDER BY expected_id) AS position FROM x), s AS (SELECT id AS stored_id, product_id, variety, row_number() OVER (PARTITION BY product_id, variety ORDER BY id) AS position FROM quotes) SELECT expected_id, e.product_id, e.variety, e.position, stored_id, CASE WHEN stored_id IS NULL THEN 'insert' ELSE 'update' END AS action FROM e LEFT JOIN s ON e.product_id = s.product_id AND e.variety IS NOT DISTINCT FROM s.variety AND e.position = s.position",
 )
 def _(spark, sf):
     q = quotes(spark, sf)
-    e = q.filter("id % 3 <> 0").select(F.col("id").alias("expected_id"), "product_id", "variety")
-    return rel.pair_by_rank(q.filter("id % 3 = 0").select("id", "product_id", "variety"), e, ["product_id", "variety"], "id", "expected_id")
+    e = q.select(F.col("id").alias("expected_id"), "product_id", F.when(F.col("market_status") == "O", "N").otherwise(F.col("variety")).alias("variety"))
+    return rel.pair_by_rank(q.select("id", "product_id", "variety"), e, ["product_id", "variety"], "id", "expected_id")
 
 
 @query(
     "j18_first_evidence",
-    f"WITH {COLLECTIONS}, e AS (SELECT sha256 AS digest, id AS evidence_id, started_at AS day FROM collections WHERE id % 3 = 0 AND sha256 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY started_at, id) = 1) SELECT c.id, e.evidence_id, e.day FROM collections c LEFT JOIN e ON e.digest = c.sha256 WHERE c.id % 5 = 0",
+    f"WITH {COLLECTIONS}, e AS (SELECT sha256 AS digest, id AS evidence_id, started_at AS day FROM collections WHERE status <> 'pending' AND sha256 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY started_at, id) = 1) SELECT c.id, e.evidence_id, e.day FROM collections c LEFT JOIN e ON e.digest = c.sha256",
 )
 def _(spark, sf):
     c = collections(spark, sf)
-    e = c.filter("id % 3 = 0 and sha256 is not null").select("sha256", F.col("id").alias("evidence_id"), F.col("started_at").alias("day"))
-    wanted = c.filter("id % 5 = 0").select("id", "sha256")
-    return rel.first_hit(wanted, e, "sha256", ["day", "evidence_id"]).select("id", "evidence_id", "day")
+    e = c.filter("status <> 'pending' and sha256 is not null").select("sha256", F.col("id").alias("evidence_id"), F.col("started_at").alias("day"))
+    return rel.first_hit(c.select("id", "sha256"), e, "sha256", ["day", "evidence_id"]).select("id", "evidence_id", "day")
 
 
 @query("l1_l3_samples", f"WITH {COLLECTIONS} SELECT status, id, count(*) OVER (PARTITION BY status) AS kind_rows, row_number() OVER (PARTITION BY status ORDER BY id) AS sample_no FROM collections QUALIFY sample_no <= 50")

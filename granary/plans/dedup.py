@@ -19,11 +19,11 @@ BASELINE = 2_000_000
 
 
 def _facts(spark, sf):
-    c = collections(spark, sf).select(F.col("id").alias("collection_id"), "sha256", "processed_at", "started_at")
+    c = collections(spark, sf).select(F.col("id").alias("collection_id"), "sha256", "processed_at", "started_at", F.col("source_id").alias("collection_source"))
     return quotes(spark, sf).join(c, "collection_id")
 
 
-_FACTS = f"{WITH_ALL}, facts AS (SELECT q.*, c.sha256, c.processed_at, c.started_at FROM quotes q JOIN collections c ON c.id = q.collection_id)"
+_FACTS = f"{WITH_ALL}, facts AS (SELECT q.*, c.sha256, c.processed_at, c.started_at, c.source_id AS collection_source FROM quotes q JOIN collections c ON c.id = q.collection_id)"
 
 
 @query("a1_duplicate_groups", f"{WITH_QUOTES} SELECT {_K}, count(*) AS occurrences FROM quotes GROUP BY {_K} HAVING count(*) > 1")
@@ -61,11 +61,11 @@ def _(spark, sf):
 
 @query(
     "a4_duplicate_manifest",
-    f"""{_FACTS}, m AS (
-      SELECT id, collection_id, {_K}, sha256, min(id) OVER g AS canonical_id, count(*) OVER g AS group_size, row_number() OVER (PARTITION BY {_K} ORDER BY id) AS position,
-             (count(DISTINCT product_id) OVER g) > 1 AS diverges, (count(DISTINCT collection_id) OVER g) > 1 AS several FROM facts WINDOW g AS (PARTITION BY {_K})
-    ) SELECT id, {_K}, canonical_id, group_size, position,
-      CASE WHEN diverges THEN 'divergent_identity' WHEN sha256 IS NULL OR NOT regexp_matches(sha256, '^[0-9a-f]{{64}}$') THEN 'invalid_key' WHEN several THEN 'several_collections' ELSE 'manual' END AS blocker
+    f"""{_FACTS}, f AS (SELECT *, sha256(concat_ws('|', source_id, coalesce(CAST(market_id AS VARCHAR), ''), alias)) AS key, coalesce(regexp_matches(sha256, '^[0-9a-f]{{64}}$'), false) AS valid, collection_source IS NOT DISTINCT FROM source_id AS owned, instr(alias, 'x') > 0 AS unclear FROM facts),
+    m AS (SELECT id, collection_id, {_K}, key, valid, owned, unclear, min(id) OVER g AS canonical_id, count(*) OVER g AS group_size, row_number() OVER (PARTITION BY {_K} ORDER BY id) AS position,
+             (count(DISTINCT line % 2) OVER g) > 1 OR (count(DISTINCT product_id // 50) OVER g) > 1 AS diverges, bool_or(NOT valid) OVER g AS invalid, bool_or(NOT owned) OVER g AS strange, bool_or(unclear) OVER g AS ambiguous, (count(DISTINCT coalesce(variety, '')) OVER g) > 1 AS extra, (count(DISTINCT collection_id) OVER g) > 1 AS several FROM f WINDOW g AS (PARTITION BY {_K})
+    ) SELECT id, {_K}, key, valid, owned, unclear, canonical_id, group_size, position,
+      CASE WHEN diverges THEN 'divergent_identity' WHEN invalid THEN 'invalid_key' WHEN strange THEN 'foreign_market' WHEN ambiguous THEN 'ambiguous_serialization' WHEN extra THEN 'complement_divergence' WHEN several THEN 'several_collections' ELSE 'manual' END AS blocker
     FROM m WHERE group_size > 1""",
 )
 def _(spark, sf):
@@ -76,9 +76,14 @@ def _(spark, sf):
     g = Window.partitionBy(*CONTENT)
     # distinct counts over a window as the difference of the least and the greatest
     differ = lambda c: F.min(c).over(g) != F.max(c).over(g)
-    rows = _facts(spark, sf).withColumns({"diverges": differ("product_id"), "several": differ("collection_id")})
-    blockers = [("divergent_identity", F.col("diverges")), ("invalid_key", ~valid_sha256(F.col("sha256"))), ("several_collections", F.col("several"))]
-    return dup.duplicate_manifest(rows, CONTENT, "id", blockers).select("id", *CONTENT, "canonical_id", "group_size", "position", "blocker")
+    any_ = lambda c: F.bool_or(c).over(g)
+    rows = _facts(spark, sf).withColumns({"key": keys.hash_values(F.col("source_id"), F.col("market_id"), F.col("alias")), "valid": valid_sha256(F.col("sha256")), "owned": F.col("collection_source").eqNullSafe(F.col("source_id")), "unclear": F.col("alias").contains("x")})
+    blockers = [
+        ("divergent_identity", differ(F.floor(F.col("product_id") / 50))), ("invalid_key", any_(~F.col("valid"))), ("foreign_market", any_(~F.col("owned"))), ("ambiguous_serialization", any_(F.col("unclear"))),
+        ("complement_divergence", differ(F.coalesce("variety", F.lit("")))), ("several_collections", differ(F.col("collection_id"))),
+    ]
+    rows = rows.withColumns({name: holds for name, holds in blockers})
+    return dup.duplicate_manifest(rows, CONTENT, "id", [(name, F.col(name)) for name, _ in blockers]).select("id", *CONTENT, "key", "valid", "owned", "unclear", "canonical_id", "group_size", "position", "blocker")
 
 
 @query(
@@ -100,14 +105,14 @@ def _(spark, sf):
 
 @query(
     "a7_semantic_candidates",
-    """WITH d AS (SELECT lang, sha256(text) AS key, regexp_replace(trim(lower(left(text, 20))), '\\s+', ' ', 'g') AS canon FROM documents WHERE regexp_full_match(left(text, 20), '[\\x20-\\x7E]*')),
-    once AS (SELECT lang, key, canon, count(*) AS n FROM d GROUP BY ALL)
-    SELECT lang, canon, count(DISTINCT key) AS keys, CAST(sum(n) AS BIGINT) AS observations FROM once GROUP BY lang, canon HAVING count(DISTINCT key) > 1""",
+    """WITH d AS (SELECT p_brand, CASE p_partkey % 3 WHEN 0 THEN upper(p_type) WHEN 1 THEN '  ' || p_type ELSE lower(p_type) END AS name FROM part),
+    once AS (SELECT p_brand, name, trim(regexp_replace(lower(name), '\\s+', ' ', 'g')) AS canon, count(*) AS n FROM d GROUP BY ALL)
+    SELECT p_brand, canon, count(DISTINCT name) AS keys, CAST(sum(n) AS BIGINT) AS observations FROM once GROUP BY p_brand, canon HAVING count(DISTINCT name) > 1""",
 )
 def _(spark, sf):
-    # the name of a document is its first 20 characters; the oracle knows no Unicode folding, so both keep to ASCII names
-    d = table(spark, sf, "documents").select("lang", F.sha2("text", 256).alias("key"), F.left("text", F.lit(20)).alias("name")).filter(F.col("name").rlike(r"^[\x20-\x7E]*$"))
-    return dup.semantic_candidates(d.withColumn("canon", tx.canonical(F.col("name"))).drop("name"), ["lang", "key", "canon"], ["lang", "canon"], "key")
+    kind, three = F.col("p_type"), F.col("p_partkey") % 3
+    d = table(spark, sf, "part").select("p_brand", F.when(three == 0, F.upper(kind)).when(three == 1, F.concat(F.lit("  "), kind)).otherwise(F.lower(kind)).alias("name"))
+    return dup.semantic_candidates(d.withColumn("canon", tx.canonical(F.col("name"))), ["p_brand", "name", "canon"], ["p_brand", "canon"], "name")
 
 
 _PRICE = lambda c: f"coalesce(regexp_replace(CAST({c} AS VARCHAR), '\\.0+$|(\\.[0-9]*?)0+$', '\\1'), '-')"
@@ -190,7 +195,7 @@ def _(spark, sf):
 
 @query(
     "e3_ambiguous_groups",
-    f"""{_PROV} SELECT {_K}, count(DISTINCT id) AS originals, count(DISTINCT origin_id) AS covered, count(DISTINCT quote_id) AS targets, min(quote_id) AS target, min(canonical_id) AS canonical
+    f"""{_PROV} SELECT {_K}, count(DISTINCT id) AS originals, count(DISTINCT origin_id) AS covered, least(count(DISTINCT quote_id), 2) AS targets, min(quote_id) AS target, min(canonical_id) AS canonical
     FROM canon LEFT JOIN prov ON origin_id = id GROUP BY {_K} HAVING originals <> covered OR targets <> 1 OR target <> canonical""",
 )
 def _(spark, sf):
@@ -206,6 +211,26 @@ def _(spark, sf):
     return dup.invalid_provenance(quotes(spark, sf).select("id", *CONTENT), _prov(spark, sf), CONTENT, "id")
 
 
+@query(
+    "e4_invalid_history",
+    f"""{_PROV}, {COLLECTIONS}, hist AS (SELECT origin_id, quote_id, CASE WHEN origin_id % 59 = 0 THEN origin_id // 1000 + 1 WHEN origin_id % 67 = 0 THEN -5 ELSE origin_id // 1000 END AS collection_id, CASE WHEN origin_id % 61 = 0 THEN 'x' ELSE 'history:' || origin_id END AS key
+      FROM (SELECT CASE WHEN origin_id % 71 = 0 THEN NULL WHEN origin_id % 73 = 0 THEN -origin_id WHEN origin_id % 79 = 0 THEN origin_id + {BASELINE} ELSE origin_id END AS origin_id, CASE WHEN origin_id % 83 = 0 THEN -1 ELSE quote_id END AS quote_id FROM prov)),
+    ranked AS (SELECT id, collection_id, min(id) OVER (PARTITION BY {_K}) AS canonical_id FROM quotes),
+    x AS (SELECT h.origin_id, h.quote_id, CASE WHEN h.origin_id IS NULL THEN 'no_origin' WHEN h.origin_id < 1 THEN 'origin_below_one' WHEN h.origin_id > {BASELINE} THEN 'origin_beyond_checkpoint' WHEN h.key IS DISTINCT FROM 'history:' || h.origin_id THEN 'key'
+      WHEN t.id IS NULL THEN 'unknown_target' WHEN c.id IS NULL THEN 'unknown_collection' WHEN o.id IS NOT NULL AND h.collection_id IS DISTINCT FROM o.collection_id THEN 'other_collection' WHEN o.id IS NOT NULL AND h.quote_id IS DISTINCT FROM o.canonical_id THEN 'not_canonical' END AS problem
+      FROM hist h LEFT JOIN ranked o ON o.id = h.origin_id LEFT JOIN quotes t ON t.id = h.quote_id LEFT JOIN collections c ON c.id = h.collection_id)
+    SELECT problem, count(*) AS n, count(DISTINCT quote_id) AS targets FROM x WHERE problem IS NOT NULL GROUP BY problem""",
+)
+def _(spark, sf):
+    o = F.col("origin_id")
+    p = _prov(spark, sf).select(F.when(o % 71 == 0, None).when(o % 73 == 0, -o).when(o % 79 == 0, o + BASELINE).otherwise(o).alias("origin_id"), F.when(o % 83 == 0, -1).otherwise(F.col("quote_id")).alias("quote_id"))
+    home = F.expr("origin_id div 1000")
+    p = p.select("origin_id", "quote_id", F.when(o % 59 == 0, home + 1).when(o % 67 == 0, -5).otherwise(home).alias("collection_id"), F.when(o % 61 == 0, "x").otherwise(F.concat(F.lit("history:"), o.cast("string"))).alias("key"))
+    q = quotes(spark, sf).select("id", "collection_id", *CONTENT)
+    bad = dup.invalid_history(q, p, collections(spark, sf).select("id"), CONTENT, "id", "collection_id", BASELINE, "history:")
+    return bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("quote_id").alias("targets"))
+
+
 @query("e5_missing_provenance", f"{_PROV} SELECT id FROM quotes WHERE NOT EXISTS (SELECT 1 FROM prov WHERE origin_id = quotes.id)")
 def _(spark, sf):
     from granary.operators.relations import orphans

@@ -111,26 +111,26 @@ def _(spark, sf):
     return rows.select("id", "status", "cursor", "no_progress", "next_check", tl.deferred(F.col("status"), F.col("next_check"), TODAY).alias("is_deferred"), tl.start_cursor(F.col("old"), F.col("new")).alias("start"))
 
 
-_FILES = """files AS (SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'staging' WHEN 1 THEN 'daily' WHEN 2 THEN 'weekly' ELSE 'monthly' END AS layer, CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '2000-09-01' OR o_orderkey % 4 = 1)"""
+_FILES = """files AS (SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'staging' WHEN 1 THEN 'daily' WHEN 2 THEN 'weekly' ELSE 'monthly' END AS layer, CAST(o_orderdate AS DATE) AS day FROM orders)"""
 
 
 def _files(spark, sf):
     k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     layer = F.when(k % 4 == 0, "staging").when(k % 4 == 1, "daily").when(k % 4 == 2, "weekly").otherwise("monthly")
-    return table(spark, sf, "orders").filter((day >= F.lit("2000-09-01").cast("date")) | (k % 4 == 1)).select(k.alias("id"), layer.alias("layer"), day.alias("day"))
+    return table(spark, sf, "orders").select(k.alias("id"), layer.alias("layer"), day.alias("day"))
 
 
 @query(
     "x9_retention",
-    f"""WITH {_FILES}, proven AS (SELECT DISTINCT day FROM files WHERE layer = 'daily' AND id % 3 = 0),
-    c AS (SELECT f.*, DATE '2001-08-02' - (CASE layer WHEN 'staging' THEN 2 WHEN 'daily' THEN 7 WHEN 'weekly' THEN 30 ELSE 365 END - 1) AS cutoff, p.day IS NOT NULL AS sure FROM files f LEFT JOIN proven p USING (day)),
+    f"""WITH {_FILES}, proven AS (SELECT DISTINCT day FROM files WHERE layer = 'daily'),
+    c AS (SELECT f.*, DATE '2002-07-01' - (CASE layer WHEN 'staging' THEN 2 WHEN 'daily' THEN 7 WHEN 'weekly' THEN 30 ELSE 365 END - 1) AS cutoff, p.day IS NOT NULL AS sure FROM files f LEFT JOIN proven p USING (day)),
     o AS (SELECT *, day < cutoff AND (layer <> 'staging' OR sure) AS old FROM c), w AS (SELECT *, day = max(day) OVER (PARTITION BY layer) AND bool_and(old) OVER (PARTITION BY layer) AS newest FROM o)
     SELECT id, layer, day, CASE WHEN NOT old THEN 'keep' WHEN newest THEN 'protected' ELSE 'expired' END AS action FROM w""",
 )
 def _(spark, sf):
     f = _files(spark, sf)
-    proven = f.filter("layer = 'daily' and id % 3 = 0")
-    return tl.plan_retention(f, "layer", "day", {"staging": 2, "daily": 7, "weekly": 30, "monthly": 365}, "2001-08-02", proven).select("id", "layer", "day", "action")
+    proven = f.filter("layer = 'daily'")
+    return tl.plan_retention(f, "layer", "day", {"staging": 2, "daily": 7, "weekly": 30, "monthly": 365}, "2002-07-01", proven).select("id", "layer", "day", "action")
 
 
 @query("x10_x18_select_per_day", f"WITH {_FILES} SELECT id, day, CASE WHEN day > DATE '2001-07-01' THEN 'future' WHEN day < DATE '2000-01-01' THEN 'too_old' WHEN row_number() OVER (PARTITION BY day ORDER BY layer DESC, id DESC) = 1 THEN 'selected' ELSE 'duplicate' END AS state FROM files")
@@ -140,7 +140,7 @@ def _(spark, sf):
 
 @query("x19_contiguous_batches", "SELECT s_suppkey, ntile(7) OVER (ORDER BY s_suppkey) AS batch FROM supplier")
 def _(spark, sf):
-    return tl.contiguous_batches(table(spark, sf, "supplier").select("s_suppkey"), ["s_suppkey"], 7)
+    return tl.contiguous_batches(table(spark, sf, "supplier").select("s_suppkey"), F.floor(F.col("s_suppkey") / 1000), ["s_suppkey"], 7)
 
 
 @query(
@@ -190,8 +190,8 @@ def _(spark, sf):
 
 
 # a feed of the same products: every second quote again, under another product every fifth time, some rows lacking a part
-_SAVED = f"""saved AS (SELECT id, CASE WHEN market_id % 5 <> 0 THEN 'm' || market_id END AS market, quote_date AS day, 'p' || (product_id % 40) AS product, CASE WHEN quantity % 9 <> 0 THEN 'KG' END AS unit, p_common AS price, market_id AS destination FROM quotes WHERE id % 3 <> 0),
-feed AS (SELECT id AS ordinal, 'm' || market_id AS market, CASE WHEN id % 23 <> 0 THEN quote_date END AS day, CASE WHEN id % 5 = 0 THEN 'new' || line ELSE 'p' || (product_id % 40) END AS product, CASE WHEN id % 31 <> 0 THEN 'KG' END AS unit, coalesce(p_max, p_min) AS price FROM quotes WHERE market_id IS NOT NULL AND id % 2 = 0),
+_SAVED = f"""saved AS (SELECT id, CASE WHEN market_id % 5 <> 0 THEN 'm' || market_id END AS market, quote_date AS day, 'p' || (product_id % 40) AS product, CASE WHEN quantity % 9 <> 0 THEN 'KG' END AS unit, p_common AS price, market_id AS destination FROM quotes),
+feed AS (SELECT id AS ordinal, 'm' || market_id AS market, CASE WHEN id % 23 <> 0 THEN quote_date END AS day, CASE WHEN id % 5 = 0 THEN 'new' || line ELSE 'p' || (product_id % 40) END AS product, CASE WHEN id % 31 <> 0 THEN 'KG' END AS unit, coalesce(p_max, p_min) AS price FROM quotes),
 mapped AS (SELECT * FROM saved WHERE day IS NOT NULL AND market IS NOT NULL AND unit IS NOT NULL),
 per AS (SELECT market, day, product, unit, count(*) AS n, min(id) AS id FROM mapped WHERE price IS NULL GROUP BY ALL),
 first AS (SELECT * FROM feed WHERE day IS NOT NULL AND price IS NOT NULL AND unit IS NOT NULL QUALIFY row_number() OVER (PARTITION BY market, day, product, unit ORDER BY ordinal) = 1),
@@ -205,8 +205,8 @@ def _complement(spark, sf):
     m, i = F.col("market_id"), F.col("id")
     text = lambda p, c: F.concat(F.lit(p), c.cast("string"))
     product = text("p", F.col("product_id") % 40)
-    saved = q.filter(i % 3 != 0).select("id", F.when(m % 5 != 0, text("m", m)).alias("market"), F.col("quote_date").alias("day"), product.alias("product"), F.when(F.col("quantity") % 9 != 0, "KG").alias("unit"), F.col("p_common").alias("price"), m.alias("destination"))
-    feed = q.filter(m.isNotNull() & (i % 2 == 0)).select(
+    saved = q.select("id", F.when(m % 5 != 0, text("m", m)).alias("market"), F.col("quote_date").alias("day"), product.alias("product"), F.when(F.col("quantity") % 9 != 0, "KG").alias("unit"), F.col("p_common").alias("price"), m.alias("destination"))
+    feed = q.select(
         i.alias("ordinal"), text("m", m).alias("market"), F.when(i % 23 != 0, F.col("quote_date")).alias("day"), F.when(i % 5 == 0, text("new", F.col("line"))).otherwise(product).alias("product"),
         F.when(i % 31 != 0, "KG").alias("unit"), F.coalesce("p_max", "p_min").alias("price"),
     )
@@ -270,14 +270,18 @@ def _(spark, sf):
     return raw.trace(*_trace(spark, sf))
 
 
-_PLAN = f"""{COLLECTIONS}, miss AS (SELECT id, raw_path AS path, sha256 AS digest FROM collections WHERE id % 2 = 0 AND sha256 IS NOT NULL), ev AS (SELECT sha256 AS digest, 'b' || (id % 100) AS backup, started_at AS day FROM collections WHERE id % 7 = 0 AND sha256 IS NOT NULL),
+_PLAN = f"""{COLLECTIONS}, miss AS (SELECT id, raw_path AS path, sha256 AS digest FROM collections WHERE sha256 IS NOT NULL), ev AS (SELECT sha256(CAST(s_suppkey AS VARCHAR)) AS digest, 'b' || s_nationkey AS backup, DATE '2001-01-01' + CAST(s_suppkey % 30 AS INT) AS day FROM supplier UNION ALL SELECT sha256(CAST(c_nationkey AS VARCHAR)), 'c' || (c_custkey % 10), DATE '2001-01-01' + CAST(c_custkey % 9 AS INT) FROM customer),
 f AS (SELECT digest, arg_min(backup, (day, backup)) AS backup, min(day) AS day FROM ev GROUP BY digest), plan AS (SELECT id, m.digest, CASE WHEN path IS NULL THEN 'invalid_target' WHEN f.backup IS NOT NULL THEN 'found' ELSE 'not_found' END AS state, f.backup, f.day FROM miss m LEFT JOIN f USING (digest))"""
 
 
 def _plan(spark, sf):
     c = collections(spark, sf).filter("sha256 is not null")
-    missing = c.filter("id % 2 = 0").select("id", F.col("raw_path").alias("path"), F.col("sha256").alias("digest"))
-    evidence = c.filter("id % 7 = 0").select(F.col("sha256").alias("digest"), F.concat(F.lit("b"), (F.col("id") % 100).cast("string")).alias("backup"), F.col("started_at").alias("day"))
+    missing = c.select("id", F.col("raw_path").alias("path"), F.col("sha256").alias("digest"))
+    text = lambda c: F.col(c).cast("string")
+    day = lambda c: F.date_add(F.lit("2001-01-01").cast("date"), c.cast("int")).alias("day")
+    evidence = table(spark, sf, "supplier").select(F.sha2(text("s_suppkey"), 256).alias("digest"), F.concat(F.lit("b"), text("s_nationkey")).alias("backup"), day(F.col("s_suppkey") % 30))
+    k = F.col("c_custkey")
+    evidence = evidence.union(table(spark, sf, "customer").select(F.sha2(text("c_nationkey"), 256), F.concat(F.lit("c"), (k % 10).cast("string")), day(k % 9)))
     return raw.plan_recovery(missing, evidence)
 
 
@@ -307,10 +311,9 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", tx.basic_name(F.concat(F.lit("  "), F.col("p_name"), F.lit("  X"))).alias("basic"), tx.slug(both).alias("slug"), tx.match_text(both).alias("match_text"), tx.match_key(F.col("p_brand")).alias("match_key"))
 
 
-@query("k14_strip_accents", "SELECT doc_id, strip_accents(w) AS plain FROM (SELECT doc_id, regexp_extract(text, '[A-Za-zÀ-ÖØ-öø-ÿ]+', 0) AS w FROM documents) WHERE NOT regexp_matches(w, '[ßøØæÆœðÐþÞ]')")
+@query("k14_strip_accents", "SELECT doc_id, md5(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')) AS plain FROM documents")
 def _(spark, sf):
-    w = F.regexp_extract("text", "[A-Za-zÀ-ÖØ-öø-ÿ]+", 0)
-    return table(spark, sf, "documents").select("doc_id", w.alias("w")).filter(~F.col("w").rlike("[ßøØæÆœðÐþÞ]")).select("doc_id", tx.strip_accents(F.col("w")).alias("plain"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(tx.strip_accents(F.col("text"))).alias("plain"))
 
 
 @query(

@@ -151,7 +151,7 @@ def parse_grid(docs: DataFrame, doc: str = "doc", html: str = "html") -> DataFra
 def parse_matrix(docs: DataFrame, doc: str = "doc", html: str = "html") -> DataFrame:
     """Product by city tables, unpivoted: a row for each product and city with a price; dates come from lines `city - date`."""
     rows = table_rows(docs, doc, html)
-    keys = F.transform("cells", tx_key)
+    keys = F.transform("cells", tx.latin_key)
     rows = rows.withColumn("keys", keys)
     head = rows.filter("array_contains(keys, 'produtos') and array_contains(keys, 'embalagens')").groupBy("doc").agg(F.min(F.struct("row", "cells", "keys")).alias("h"))
     names = head.select("doc", "h.row", F.posexplode("h.cells").alias("k", "city"), F.array_position("h.keys", "produtos").alias("p"), F.array_position("h.keys", "embalagens").alias("u"))
@@ -167,7 +167,41 @@ def parse_matrix(docs: DataFrame, doc: str = "doc", html: str = "html") -> DataF
     return body.withColumn("city_key", tx.match_key(F.col("market"))).join(days, ["doc", "city_key"], "left").drop("city_key")
 
 
-def tx_key(c):
-    """The match key of a header's cell; headers of these tables have no letters beyond Latin-1, so no UDF is needed in a lambda."""
-    plain = F.translate(F.lower(c), "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
-    return F.regexp_replace(plain, "[^a-z0-9]", "")
+
+# Forms of a day in a link's text or address. Fixed values.
+LINK_DAY = r"(?<!\d)(\d{2}/\d{2}/\d{4})(?!\d)"
+LINK_LONG_DAY = r"(?i)\b(\d{1,2})\s+de\s+(\p{L}+)\s+de\s+(20\d{2})\b"
+LINK_URL_DAY = r"(?<!\d)(\d{1,2})[-_/](\d{1,2})[-_/](20\d{2})(?!\d)"
+
+
+def dated_links(docs: DataFrame, doc: str = "doc", html: str = "html") -> DataFrame:
+    """page_links with the day that a link's text tells, in long or short form, or else its address; null if neither does."""
+    part = lambda c, pattern, k: F.nullif(F.regexp_extract(c, pattern, k), F.lit(""))
+    month = tx.month_number(part("label", LINK_LONG_DAY, 2))
+    day = lambda y, m, d: F.try_to_date(F.format_string("%s-%s-%s", y, m, d), "yyyy-M-d")
+    long_day = F.when(month.isNotNull(), day(part("label", LINK_LONG_DAY, 3), month.cast("string"), part("label", LINK_LONG_DAY, 1)))
+    in_url = F.when(part("href", LINK_URL_DAY, 3).isNotNull(), day(*[part("href", LINK_URL_DAY, k) for k in (3, 2, 1)]))
+    return page_links(docs, doc, html).withColumn("day", F.coalesce(long_day, values.date_br(part("label", LINK_DAY, 1)), in_url))
+
+
+def month_links(docs: DataFrame, doc: str = "doc", html: str = "html") -> DataFrame:
+    """Doc, year, month, href of links whose text or address names a month and a year; one row for each address."""
+    links = page_links(docs, doc, html).filter("href is not null")
+    said = F.lower(tx.strip_accents(F.concat_ws(" ", "label", "href")))
+    year = F.nullif(F.regexp_extract(said, r"(?<!\d)(20\d{2})(?!\d)", 1), F.lit("")).cast("int")
+    month = F.coalesce(*[F.when(said.contains(name), F.lit(number)) for name, number in tx.MONTHS.items()])
+    out = links.select("doc", "position", year.alias("year"), month.alias("month"), "href").filter("year is not null and month is not null")
+    return out.groupBy("doc", "href").agg(F.min_by("year", "position").alias("year"), F.min_by("month", "position").alias("month"))
+
+
+def page_urls(docs: DataFrame, base, doc: str = "doc", html: str = "html") -> DataFrame:
+    """Doc, url of the further pages that a page links to (page= in the address), each once, against its own address."""
+    links = page_links(docs, doc, html).filter(F.col("href").contains("page="))
+    own = docs.select(F.col(doc).cast("long").alias("doc"), base.alias("base"))
+    root = F.regexp_extract("base", r"^(\w+://[^/]+)", 1)
+    href = F.col("href")
+    url = (
+        F.when(href.rlike(r"^\w+://"), href).when(href.startswith("//"), F.concat(F.substring_index("base", "//", 1), href)).when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("?"), F.concat(F.substring_index("base", "?", 1), href)).otherwise(F.concat(F.regexp_replace(F.substring_index("base", "?", 1), r"[^/]*$", ""), href))
+    )
+    return links.join(own, "doc").select("doc", url.alias("url")).distinct()

@@ -67,11 +67,16 @@ def test_keys(spark):
         ("Saco 2,50 kg", "kg", "saco", "2.5", None, "saco 2.5 kg"),
         ("Maço", "maco", "maco", "1", None, "maco"),
         ("granel", None, None, None, None, "granel"),
+        ("granel/solto", None, None, None, None, "granel solto"),
+        ("Caixa", None, "caixa", "1", None, "caixa"),
+        ("KG - 20", "kg", None, "20", None, "20 kg"),
+        ("05 kg", "kg", None, "5", None, "5 kg"),
+        ("18a20 kg", "kg", None, "18", "20", "18 a 20 kg"),
     ],
 )
 def test_units(given, symbol, packaging, low, high, shown):
-    got = units.parse(given)
-    assert (got[2], got[3], got[4], got[5], got[1]) == (symbol, packaging, low, high, shown)
+    got = dict(zip(units.FIELDS, units.parse(given), strict=True))
+    assert (got["symbol"], got["packaging"], got["qty_min"], got["qty_max"], got["normalized"]) == (symbol, packaging, low, high, shown)
 
 
 def test_units_on_frames(spark):

@@ -29,17 +29,17 @@ def test_origin_bulletin(spark):
 
 
 def test_four_price_bulletin_keeps_its_order(spark):
-    rows = bulletins.parse_bulletins(docs(spark, "Periodo : 01/02/2026\n01 - FRUTAS\nBANANA PRATA CX 20 KG 50,00 60,00 40,00 2,500"), "go").collect()
-    assert [(r["product"], r["unit"], r["p_min"], r["p_common"], r["p_max"], r["category"]) for r in rows] == [("BANANA PRATA", "CX 20 KG", D("40"), D("50"), D("60"), "frutas")]
+    rows = bulletins.parse_bulletins(docs(spark, "Periodo : 01/02/2026\n01 - FRUTAS\nBANANA PRATA CX 50,00 60,00 40,00 2,500"), "go").collect()
+    assert [(r["product"], r["unit"], r["p_min"], r["p_common"], r["p_max"], r["category"]) for r in rows] == [("BANANA PRATA", "CX", D("40"), D("50"), D("60"), "frutas")]
 
 
 def test_sections_and_trailer(spark):
-    rows = bulletins.parse_bulletins(docs(spark, "RIO 03/03/2026\n1. RAIZES\nBATATA LISA SC 50 KG S/C 90,00 100,00 110,00\nsem unidade 1,00 2,00 3,00"), "rj").collect()
+    rows = bulletins.parse_bulletins(docs(spark, "RIO 03/03/2026\n1. RAIZES S/C\nBATATA LISA SC 50 KG S/C 90,00 100,00 110,00\nsem unidade 1,00 2,00 3,00"), "rj").collect()
     assert [(r["category"], r["product"], r["unit"], r["p_max"], r["quote_date"]) for r in rows] == [("raizes", "BATATA LISA", "SC 50 KG", D("110"), date(2026, 3, 3))]
 
 
 def test_variety_is_carried(spark):
-    lines = ["05.08.2026", "MAÇÃ - CX 18 KG PROC. SC", "FUJI CAT-1 TP. 90 EST 100,00 110,00 120,00", "CAT-1 TP.150 EST 90,00 95,00 99,00", "GALA CAT-1 TP. 90 EST 100,00 110,00 120,00", "COMERCIAL - SOLTA EST 60,00 80,00 90,00"]
+    lines = ["DATA: 05.08.2026", "MAÇÃ - CX 18 KG PROC. SC", "FUJI CAT-1 TP. 90 EST 100,00 110,00 120,00", "CAT-1 TP.150 EST 90,00 95,00 99,00", "GALA CAT-1 TP. 90 EST 100,00 110,00 120,00", "COMERCIAL - SOLTA EST 60,00 80,00 90,00"]
     df = spark.createDataFrame([(1, ["\n".join(lines)])], "doc long, pages array<string>")
     rows = bulletins.parse_two_columns(df).orderBy("n").collect()
     assert [r["classification"] for r in rows] == ["FUJI CAT-1 TP. 90", "FUJI CAT-1 TP.150", "GALA CAT-1 TP. 90", "GALA COMERCIAL - SOLTA"]
