@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -174,21 +175,58 @@ def test_bpe_round_trip(spark, docs, odd, none, texts):
 # --- fingerprints -----------------------------------------------------------------------------------------------------
 
 
-def test_fingerprints(docs, texts, none):
-    order = sorted(texts)
-    rows = {r["doc_id"]: r for r in fingerprints.compare_edited(docs).collect()}
-    assert len(rows) == len(order)
-    for i, k in enumerate(order):
-        t, after = texts[k] or "", texts[order[(i + 1) % len(order)]] or ""
+def own_canonical(t):
+    """Folding written apart from the operator's."""
+    once = unicodedata.normalize("NFKC", t)
+    return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", once.casefold())).strip()
+
+
+def edited_rows(rows):
+    """Brute force of compare_edited over (key, text) rows: (key, n_chars, sha256 of the edited text, like edited, like next), sorted."""
+    def xxh(t):
+        import xxhash
+
+        h = xxhash.xxh64_intdigest(t.encode(), seed=42)
+        return h - 2**64 if h >= 2**63 else h
+
+    order = sorted({(-(2**64) if k is None else k, xxh(t or ""), t or "") for k, t in rows})
+    after = {order[i][::2]: order[(i + 1) % len(order)][2] for i in range(len(order))}
+    out = []
+    for k, t in rows:
+        t, nxt = t or "", after[-(2**64) if k is None else k, t or ""]
         q = len(t) // 4
-        edited = t[: len(t) - q] + after[:q]
-        r = rows[k]
-        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert (r["fingerprint"], r["edited_fingerprint"]) == (fingerprints.digest(t)[0], fingerprints.digest(edited)[0])
-        assert r["near_edited"] == float(r["fingerprint"] == r["edited_fingerprint"]) and r["near_next"] == float(r["fingerprint"] == fingerprints.digest(after)[0])
+        new = t[: len(t) - q] + nxt[:q]
+        out.append((repr(k), len(t), hashlib.sha256(new.encode()).hexdigest(), float(own_canonical(t) == own_canonical(new)), float(own_canonical(t) == own_canonical(nxt))))
+    return sorted(out)
+
+
+def test_fingerprints(docs, texts, none):
+    rows = fingerprints.compare_edited(docs).collect()
+    assert sorted((repr(r["doc_id"]), r["n_chars"], r["edited_sha256"], r["near_edited"], r["near_next"]) for r in rows) == edited_rows(list(texts.items()))
+    one = {}
+    for r in rows:  # one fingerprint for each canonical text, and the other way around
+        assert one.setdefault(r["fingerprint"], own_canonical(texts[r["doc_id"]] or "")) == own_canonical(texts[r["doc_id"]] or "")
+        assert (r["fingerprint"] == r["edited_fingerprint"]) == bool(r["near_edited"])
+    assert len(set(one.values())) == len(one)
     assert fingerprints.compare_edited(none).count() == 0
 
 
+def test_fingerprints_of_shared_keys(spark):
+    """Most rows have one key, or none; rows repeat; texts are empty, null and long."""
+    rng = random.Random(4)
+    some = [None, "", "a", "Ab  c", "x" * 3000, *("".join(rng.choice("abcÄé ") for _ in range(rng.randint(1, 40))) for _ in range(60))]
+    rows = [(7 if k % 3 else None, t) for k, t in enumerate(some)] + [(7, "again")] * 5 + [(k, "z" * k) for k in range(8)]
+    got = fingerprints.compare_edited(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, bucket int")).collect()
+    assert sorted((repr(r["doc_id"]), r["n_chars"], r["edited_sha256"], r["near_edited"], r["near_next"]) for r in got) == edited_rows(rows)
+
+
+def test_places():
+    bounds = np.array([3, 5, 5, 5, 9])
+    keys, hashes = [None, 3, 4, *[5] * 5, 6, 9, 10], [0, 0, 0, -(2**63), -(2**62), 0, 2**62, 2**63 - 1, 0, 0, 0]
+    got = fingerprints.places(keys, hashes, bounds)
+    assert got == sorted(got) and got[0] == 0 and len(set(got[3:8])) == 3 and got[-1] == 5
+
+
 def test_fingerprint_folding(spark, odd):
     df = spark.createDataFrame([(1, "Straße  X"), (2, "STRASSE x "), (3, "ﬁn"), (4, "fin"), (5, "other")], "doc_id long, text string")
     f = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(df).collect()}
