@@ -1,7 +1,10 @@
 """From raw documents to training tokens: rules, near duplicates, repeated passages, mixing, encoding.
 
 Each stage is written as Parquet and read again as the next one's input, by the driver or by run() below, so a lost executor
-costs the tasks of one stage. All but the last return the columns of documents.
+costs the tasks of one stage. All but the last return the columns of documents, in their order, others of any name too.
+
+Null, empty and blank texts break the rules and go in the first stage; a stage that meets them keeps them. Texts of any length
+are taken whole. A null key is a key like others; rows that repeat key and text are copies. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -20,17 +23,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each class of near duplicates."""
+    """One document, one with the least id, of each class of near duplicates; texts without words are in no class and stay."""
     return jaccard.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that a document with a smaller id holds too."""
+    """All documents, without the passages that a document with a smaller id holds too; what is cut may leave a text empty."""
     return passages.without_repeats(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, none to three times."""
+    """Documents as often as the mix takes them, none to three times; null sources are one source, texts without words have size 0."""
     return mixing.mixture(docs)
 
 
