@@ -745,3 +745,42 @@ def test_passages_whose_shingles_an_earlier_text_holds(spark):
         want[100 * n + 51] = (20, 60, 100 * n + 50)
     got = {(r["doc_id"], r["of_doc_id"]): (r["first_word"], r["n_words"], r["of_doc_id"]) for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: got.get((i, w[2])) for i, w in want.items()} == want
+
+
+def test_passages_of_common_windows(spark, monkeypatch):
+    """With almost all windows common, and few texts to a batch, the same passages are found."""
+    own = made_words(31)
+    passage, rows, want = own(60), [], {}
+    for n in range(40):
+        near = passage[:]
+        if n % 5 == 1:
+            near[30] = "other"
+        elif n % 5 == 2:
+            near.insert(20, "inserted")
+        elif n % 5 == 3:
+            near = passage[:55]
+        before = own(5 + n % 7)
+        rows.append((n, " ".join([*before, *near, *own(30)])))
+        want[n] = set(range(len(before), len(before) + len(near)))
+    rows += [(100 + n, " ".join(own(120))) for n in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    usual = covered(passages.repeats(frame).collect())
+    monkeypatch.setattr(passages, "ROWS", 7)
+    monkeypatch.setattr(passages, "common", lambda docs, least, hashes: np.sort(np.array([r["value"] for r in passages.windows(docs, least, hashes, np.zeros(0, dtype=np.uint64)).select("value").distinct().collect()], dtype=np.int64).view(np.uint64)))
+    spread = covered(passages.repeats(frame).collect())
+    for got in (usual, spread):
+        assert set(got) <= set(range(1, 40))
+        assert sum(len(got[n] & want[n]) >= 0.9 * len(want[n]) for n in range(1, 40)) >= 38
+        exact = [n for n in range(1, 40) if n % 5 in (0, 4) or n % 5 == 3]
+        assert all(want[n] <= got[n] for n in exact)
+
+
+def test_common_windows_are_told(spark, monkeypatch):
+    own = made_words(5)
+    passage = own(60)
+    frame = spark.createDataFrame([(n, 0, " ".join([*own(20), *(passage if n % 2 else own(60)), *own(20)])) for n in range(200)], "id long, part long, text string")
+    monkeypatch.setattr(passages, "HOT_ROWS", 0)
+    monkeypatch.setattr(passages, "HOT_SHARES", (0.2, 0.2))
+    hot = passages.common(frame, 46, 3)
+    values = [r["n"] for r in passages.windows(frame, 46, 3, np.zeros(0, dtype=np.uint64)).groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(hot) == sum(n > 40 for n in values) > 0 and (np.diff(hot.astype(float)) > 0).all()
