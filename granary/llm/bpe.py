@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, extended, fresh, map_arrow
+from .common import col, documents, extended, fresh, map_arrow, trimmed
 
 #: Bytes of a leaf of the tree; longer texts are halved.
 LEAF = 2_048
@@ -29,8 +29,8 @@ SPREAD = 1 << 20
 FIRST_WINDOW = 16
 #: Bytes around a join in which agreement doesn't count: contractions and special tokens are shorter.
 MARGIN = 32
-#: Bytes of words and pre-tokens that a worker remembers before it forgets them all (a batch may add up to twice its own).
-REMEMBERED = 10 << 20
+#: Bytes of words and pre-tokens that a task remembers before it forgets them all (a batch may add up to twice its own).
+REMEMBERED = 2 << 20
 #: Bytes of text that are encoded at a time (one text at least).
 SLICE_BYTES = 1 << 20
 
@@ -408,18 +408,6 @@ class Codec:
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))), self.decoded(ids, counts)
 
 
-def kept(path: str) -> Codec:
-    """The Python worker's codec of that vocabulary: what one task has learnt serves the next one of the worker."""
-    import sys
-    import types
-
-    # functions travel to workers by value, so a module of theirs would be new for each task
-    held = vars(sys.modules.setdefault("granary_kept", types.ModuleType("granary_kept")))
-    if path not in held:
-        held[path] = Codec(path)
-    return held[path]
-
-
 def encode_long(codec: Codec, text: str) -> list[int]:
     """Token ids of a text by the tree; equal to the library's encode(text, add_special_tokens=False).ids."""
     return codec.batch([text.encode()])[0].flatten().to_pylist()
@@ -453,7 +441,7 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None, spread: i
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = kept(path)
+        codec = Codec(path)
         for whole in batches:
             texts = whole.column(place).cast(pa.binary()).to_pylist()
             for first, n in by_bytes([len(t or b"") for t in texts]):
@@ -485,7 +473,7 @@ def _spread(texts: DataFrame, path: str, spread: int) -> DataFrame:
     def encoded(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = kept(path)
+        codec = Codec(path)
         for batch in batches:
             for k, piece in enumerate(batch.column(2).to_pylist()):
                 (side,) = codec.encoded(piece, [len(piece)])
@@ -496,7 +484,7 @@ def _spread(texts: DataFrame, path: str, spread: int) -> DataFrame:
         import pandas as pd
         import pyarrow as pa
 
-        codec = kept(path)
+        codec = Codec(path)
         pieces = pieces.sort_values("at")
         sides = [Side(at, at + len(p), [np.frombuffer(t, dtype=np.int64).reshape(3, -1) + np.array([[0], [at], [at]])]) for at, p, t in zip(pieces["at"], pieces["piece"], pieces["tokens"], strict=True)]
         (side,) = codec.joined(b"".join(pieces["piece"]), [sides])
@@ -504,8 +492,8 @@ def _spread(texts: DataFrame, path: str, spread: int) -> DataFrame:
         return pd.DataFrame({"h": [pieces["h"].iloc[0]], "ids": [ids[0].values.to_numpy()], "decoded": [decoded[0].as_py()]})
 
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = texts.mapInArrow(cut, "h string, at long, piece binary").repartition(tasks, "h", "at")
-    return pieces.mapInArrow(encoded, "h string, at long, piece binary, tokens binary").groupBy("h").applyInPandas(joined, "h string, ids array<int>, decoded string")
+    pieces = texts.mapInArrow(trimmed(cut), "h string, at long, piece binary").repartition(tasks, "h", "at")
+    return pieces.mapInArrow(trimmed(encoded), "h string, at long, piece binary, tokens binary").groupBy("h").applyInPandas(joined, "h string, ids array<int>, decoded string")
 
 
 def digests(df: DataFrame, key: list[str], text: str = "text", path: str | None = None) -> DataFrame:

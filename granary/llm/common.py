@@ -97,6 +97,28 @@ def looked_up(rows: DataFrame, table: DataFrame, key: list[str], count: str, tot
     return rows.join(F.broadcast(hot), key).unionByName(cold)
 
 
+def trimmed(run):
+    """The function of a mapInArrow that gives its worker's free memory back to the system at the end of each task.
+
+    Workers stay for the tasks of other stages, and would hold the most that any of their tasks took.
+    """
+
+    def wrapped(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequence[str] | None = None) -> DataFrame:
     """df.mapInArrow(run) where run returns df's columns and then the added ones, in that order.
 
@@ -106,7 +128,7 @@ def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequenc
     plain = [f"c{i}" for i in range(len(df.columns))]
     fields = [T.StructField(n, f.dataType) for n, f in zip(plain, df.schema.fields, strict=True)]
     new = [T.StructField(f"a{i}", f.dataType) for i, f in enumerate(added)]
-    return df.toDF(*plain).mapInArrow(run, T.StructType([*fields, *new])).toDF(*(names or [*df.columns, *(f.name for f in added)]))
+    return df.toDF(*plain).mapInArrow(trimmed(run), T.StructType([*fields, *new])).toDF(*(names or [*df.columns, *(f.name for f in added)]))
 
 
 def extended(batch, *arrays):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, durable, looked_up
+from .common import col, documents, durable, looked_up, trimmed
 
 #: Rows that leave a worker at a time.
 SLICE = 512
@@ -52,7 +52,7 @@ def _added(df: DataFrame, fields: list[T.StructField], drop: list[str], function
                 old = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
                 yield pa.RecordBatch.from_arrays([*old, *new], names=[f.name for f in schema.fields])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def _strings(*names: str) -> list[T.StructField]:
@@ -171,7 +171,7 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 ks, ths, texts = (c.to_pylist() for c in whole.slice(start, SLICE).columns)
                 yield _table([(r, k, h, small.compress(t.encode("utf-8", "surrogatepass")), len(t), *digest(t)) for r, k, h, t in zip(places(ks, ths, bounds), ks, ths, texts, strict=True)], schema)
 
-    packed = base.select("k", F.xxhash64("text").alias("th"), "text").mapInArrow(pack, schema)
+    packed = base.select("k", F.xxhash64("text").alias("th"), "text").mapInArrow(trimmed(pack), schema)
     dealt = packed.repartition("range").sortWithinPartitions("range", F.col("k").asc_nulls_first(), "th")
     walked = T.StructType([T.StructField("role", T.StringType()), *row.fields, *[f for f in T.StructType.fromDDL(_OUT).fields if f.name not in row.names]])
     names = row.names
@@ -212,7 +212,7 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         if out:
             yield _joined(out)
 
-    rows = durable(dealt.mapInArrow(walk, walked))
+    rows = durable(dealt.mapInArrow(trimmed(walk), walked))
     # the range after each: one row for every range that has rows, keys and texts aside
     present = rows.filter("role = 'first'").select("range").distinct()
     order = Window.orderBy("range")
@@ -226,7 +226,7 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             yield _table([_edited_row(r["row"], r["following"]) for r in batch.to_pylist()], end)
 
-    out = rows.filter("role = 'done'").select(*end.names).union(meet.mapInArrow(edit, end))
+    out = rows.filter("role = 'done'").select(*end.names).union(meet.mapInArrow(trimmed(edit), end))
     out = durable(out)
     clash = durable(collisions(several(base, _shared(out)), "bucket", "text"))
     none = clash.isEmpty()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, durable, fresh, looked_up
+from .common import col, documents, durable, fresh, looked_up, trimmed
 from .components import components
 from .shingles import many, shingle_hashes
 
@@ -100,7 +100,7 @@ def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 names=["id", "mark", "n", "whole", "keys"],
             )
 
-    return docs.select("id", "text", F.md5("text").alias("mark")).mapInArrow(run, "id long, mark string, n long, whole string, keys array<long>")
+    return docs.select("id", "text", F.md5("text").alias("mark")).mapInArrow(trimmed(run), "id long, mark string, n long, whole string, keys array<long>")
 
 
 def only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -253,7 +253,7 @@ def shingled(docs: DataFrame) -> DataFrame:
             sets = [s.tobytes() for s in sets_of(texts) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_hexdigest(s) for s in sets], type=pa.string()), pa.array(sets, type=pa.binary())], names=["node", "set"])
 
-    return docs.select("id", "text").mapInArrow(run, "node string, set binary")
+    return docs.select("id", "text").mapInArrow(trimmed(run), "node string, set binary")
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

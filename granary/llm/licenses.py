@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .bpe import by_bytes
-from .common import col, documents, lean
+from .common import col, documents, lean, trimmed
 
 # Names of licence families; the last of each doesn't train. Fixed values.
 NAMES = {
@@ -333,7 +333,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", model: Model |
                 ids = whole.column(0).slice(start, n).take(pa.array([f[0] for f in found], type=pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, at, family, chance, share, text_], names=[f.name for f in schema.fields])
 
-    return base.toDF("k", "t").mapInArrow(run, schema)
+    return base.toDF("k", "t").mapInArrow(trimmed(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

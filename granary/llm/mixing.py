@@ -27,7 +27,7 @@ MOST = 3.0
 BLOCK_ROWS = 256
 MOST_BLOCKS = 524_288
 #: Words of a part of a shard that one task shuffles, about.
-PART_WORDS = 4_000_000
+PART_WORDS = 500_000
 SHARDS = 16
 #: Above so many sources the thresholds are joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 10_000
