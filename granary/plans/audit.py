@@ -418,10 +418,22 @@ def _(spark, sf):
     return quotes(spark, sf).groupBy(ck.price_rejects("p_min", "p_common", "p_max", "quote_date").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f3_rejected_collections", f"WITH {QUOTES} SELECT collection_id, count(*) AS rejected FROM quotes GROUP BY collection_id HAVING bool_and(p_common IS NULL)")
+_DOUBTFUL = "CASE WHEN line % 2 = 0 THEN -p_min ELSE p_min END"
+
+
+@query(
+    "f3_rejected_collections",
+    f"""WITH {QUOTES}, d AS (SELECT collection_id, CASE WHEN line % 5 <> 3 THEN quote_date END AS quote_date, {_DOUBTFUL} AS p_min FROM quotes),
+    r AS (SELECT collection_id, CASE WHEN quote_date IS NULL THEN 'missing_date' WHEN p_min IS NULL THEN 'no_price' WHEN p_min < 0 THEN 'negative_price' END AS reason FROM d)
+    SELECT collection_id, count(*) AS rejected, count(*) FILTER (WHERE reason = 'missing_date') AS missing_date, count(*) FILTER (WHERE reason = 'no_price') AS no_price, count(*) FILTER (WHERE reason = 'negative_price') AS negative_price FROM r GROUP BY collection_id HAVING count(*) = count(reason)""",
+)
 def _(spark, sf):
-    # of the quotes, those without a common price are rejected here; collections with a valid one fall away in the aggregate
-    return quotes(spark, sf).groupBy("collection_id").agg(F.count(F.lit(1)).alias("rejected"), F.bool_and(F.col("p_common").isNull()).alias("all")).filter("all").drop("all")
+    # prices of every second line are made negative, dates of every fifth are lost; a collection is rejected with all of its quotes
+    q = quotes(spark, sf).select("collection_id", F.when(F.col("line") % 5 != 3, F.col("quote_date")).alias("quote_date"), F.when(F.col("line") % 2 == 0, -F.col("p_min")).otherwise(F.col("p_min")).alias("p_min"))
+    reason = ck.price_rejects("p_min", "p_min", "p_min", "quote_date")
+    n = lambda r: F.count_if(F.col("reason") == r).alias(r)
+    g = q.withColumn("reason", reason).groupBy("collection_id").agg(F.count(F.lit(1)).alias("rejected"), F.count("reason").alias("with_reason"), n("missing_date"), n("no_price"), n("negative_price"))
+    return g.filter("rejected = with_reason").drop("with_reason")
 
 
 @query("f7_processed_raws", f"WITH {COLLECTIONS} SELECT id, raw_path FROM collections WHERE raw_path IN (SELECT raw_path FROM collections WHERE status = 'processed')")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, base, dedup, documents, lifecycle, operations  # noqa: F401
+from . import audit, base, dedup, delivery, documents, lifecycle, operations  # noqa: F401
 
 
 def queries() -> dict[str, base.Query]:

@@ -336,7 +336,7 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", values.money_br(shown).alias("price"), values.date_br(day).alias("day"))
 
 
-@query("k28_mask_secrets", "SELECT doc_id, md5(regexp_replace(regexp_replace(text || ' ?token=abc&x=1 postgres://u:pw@h/d', '(?i)(postgres(?:ql)?://[^\\s:/]+:)[^@\\s/]+(@)', '\\1***\\2', 'g'), '(?i)([?&](?:token|password|secret|api[-_]?key)=)[^&\\s]+', '\\1***', 'g')) AS masked FROM documents")
+@query("k28_mask_secrets", "SELECT doc_id, md5(regexp_replace(regexp_replace(text || ' ?token=abc&x=1 postgres://u:pw@h/d', '(?i)\\b(postgres|postgresql)://([^\\s/:]+):[^\\s/@]+@', '\\1://\\2:***@', 'g'), '(?i)([?&])(api-key|api_key|apikey|password|secret|token)=[^\\s&]+', '\\1\\2=***', 'g')) AS masked FROM documents")
 def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(tx.mask_secrets(F.concat(F.col("text"), F.lit(" ?token=abc&x=1 postgres://u:pw@h/d")))).alias("masked"))
 

@@ -205,3 +205,24 @@ def page_urls(docs: DataFrame, base, doc: str = "doc", html: str = "html") -> Da
         .when(href.startswith("?"), F.concat(F.substring_index("base", "?", 1), href)).otherwise(F.concat(F.regexp_replace(F.substring_index("base", "?", 1), r"[^/]*$", ""), href))
     )
     return links.join(own, "doc").select("doc", url.alias("url")).distinct()
+
+
+# What a result table of seven cells tells of itself, and pages that say that the service is down. Fixed values.
+RESULT_CATEGORY = r"(?i)\b([\p{L} ]+?)\s+\d{2}/\d{2}/\d{4}"
+UNAVAILABLE = r"(?i)service unavailable|temporarily unavailable|indispon[ií]vel"
+
+
+def seven_cell_problems(docs: DataFrame, category, day, doc: str = "doc", html: str = "html") -> DataFrame:
+    """Doc, problem of pages that don't answer what was asked: unavailable, layout, wrong_category, no_date, wrong_date, no_rows."""
+    rows = table_rows(docs, doc, html).filter("table_class = 'contacao_lista'")
+    text = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row", "cells"))), lambda x: x["cells"])), " ")
+    quote = (F.size("cells") == 7) & cell(0).isNotNull() & (tx.match_key(cell(0)) != "produto")
+    found = rows.withColumn("quote", quote).groupBy("doc").agg(text.alias("text"), F.bool_or("quote").alias("quotes"))
+    asked = docs.select(F.col(doc).cast("long").alias("doc"), F.col(html).alias("html"), category.alias("category"), day.alias("day")).join(found, "doc", "left")
+    said = values.date_br(F.nullif(F.regexp_extract("text", r"(\d{2}/\d{2}/\d{4})", 1), F.lit("")))
+    name = F.nullif(F.trim(F.regexp_extract("text", RESULT_CATEGORY, 1)), F.lit(""))
+    problem = (
+        F.when(F.col("text").isNull() & F.coalesce(F.col("html").rlike(UNAVAILABLE), F.lit(False)), "unavailable").when(F.col("text").isNull(), "layout").when(~tx.match_key(name).eqNullSafe(tx.match_key(F.col("category"))), "wrong_category")
+        .when(said.isNull(), "no_date").when(said != F.col("day"), "wrong_date").when(~F.col("quotes"), "no_rows")
+    )
+    return asked.select("doc", problem.alias("problem")).filter("problem is not null")

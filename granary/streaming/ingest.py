@@ -26,6 +26,12 @@ def run_available(stream: DataFrame, out: str, state: str) -> None:
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).outputMode("append").start().awaitTermination()
 
 
+def run_to_table(stream: DataFrame, name: str, state: str) -> DataFrame:
+    """All groups of an aggregating stream over what there is now, as a table of the session; for results of few rows."""
+    stream.writeStream.format("memory").queryName(name).option("checkpointLocation", state).trigger(availableNow=True).outputMode("complete").start().awaitTermination()
+    return stream.sparkSession.table(name)
+
+
 def sync(spark: SparkSession, source: DataFrame, name: str, id_col: str, target: str, marks: str, reference: bool = False) -> int:
     """Copies the rows past a table's watermark to target/name, then moves the watermark; reference tables are rewritten.
 
