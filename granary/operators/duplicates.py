@@ -27,15 +27,21 @@ def joined_ids(c: str) -> Column:
 
 
 def duplicate_detail(df: DataFrame, keys: Sequence[str], id_col: str, collection: str, digest: str, at: str) -> DataFrame:
-    """A2: for each group also collections, raw hashes, class of origin, first and last time, ids in order."""
+    """A2: for each group also collections, raw hashes, class of origin, first and last time and id. Its ids are those of id_pages."""
     g = duplicate_groups(
         df, keys, 2, F.countDistinct(collection).alias("collections"), F.countDistinct(digest).alias("raws"), F.bool_or(F.col(digest).isNull()).alias("no_raw"),
-        F.min(at).alias("first_at"), F.max(at).alias("last_at"), joined_ids(id_col).alias("ids"),
+        F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"),
     )
     origin = F.when(F.col("collections") == 1, "same_collection").when(~F.col("no_raw") & (F.col("raws") == 1), "same_raw").otherwise("different_raw")
     return g.withColumn("origin_class", origin).drop("no_raw")
 
 
+def id_pages(df: DataFrame, keys: Sequence[str], id_col: str, groups: DataFrame, span: int) -> DataFrame:
+    """The ids of each of the groups in order, in pages of so wide a range of ids, so that no list grows with a group: keys, page, ids."""
+    pages = df.groupBy(*keys, F.floor(F.col(id_col) / span).alias("page")).agg(joined_ids(id_col).alias("ids"))
+    return pages.join(groups.select(*keys), same(pages, groups, keys), "left_semi")
+
+
 def duplicate_summary(detail: DataFrame, by: Sequence[str]) -> DataFrame:
     """A3: the groups of duplicate_detail summed up for each value of by."""
     c = F.col
@@ -78,10 +84,12 @@ def semantic_candidates(df: DataFrame, exact: Sequence[str], canonical: Sequence
 
 
 def semantic_variations(df: DataFrame, identity: Sequence[str], content: Column) -> DataFrame:
-    """Identities with several contents: versions, observations, the contents in order."""
+    """Identities with several contents: a row for each content, its times, and the identity's versions and observations."""
     once = df.groupBy(*identity, content.alias("content")).agg(F.count(F.lit(1)).alias("n"))
-    g = once.groupBy(*identity).agg(F.count(F.lit(1)).alias("versions"), F.sum("n").alias("observations"), F.array_join(F.array_sort(F.collect_list("content")), "; ").alias("contents"))
-    return g.filter("versions > 1")
+    g = once.groupBy(*identity).agg(F.count(F.lit(1)).alias("versions"), F.sum("n").alias("observations")).filter("versions > 1")
+    named = g.select(*[F.col(k).alias(f"_{k}") for k in identity], "versions", "observations")
+    hit = [once[k].eqNullSafe(named[f"_{k}"]) for k in identity]
+    return once.join(named, hit).select(*identity, "content", "n", "versions", "observations")
 
 
 def logical_contents(df: DataFrame, source: str, date: str, keys: Sequence[str]) -> DataFrame:

@@ -33,7 +33,7 @@ def _(spark, sf):
 
 _DETAIL = f"""{_FACTS}, detail AS (
   SELECT {_K}, count(*) AS occurrences, count(DISTINCT collection_id) AS collections, count(DISTINCT sha256) AS raws, bool_or(sha256 IS NULL) AS no_raw,
-         min(started_at) AS first_at, max(started_at) AS last_at, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids
+         min(started_at) AS first_at, max(started_at) AS last_at, min(id) AS first_id, max(id) AS last_id
   FROM facts GROUP BY {_K} HAVING count(*) > 1
 ), classed AS (
   SELECT * EXCLUDE (no_raw), CASE WHEN collections = 1 THEN 'same_collection' WHEN NOT no_raw AND raws = 1 THEN 'same_raw' ELSE 'different_raw' END AS origin_class FROM detail
@@ -49,6 +49,20 @@ def _(spark, sf):
     return _detail(spark, sf)
 
 
+#: Range of ids of a page, as wide as a thousand orders.
+PAGE = 1_000_000
+
+
+@query(
+    "a2_k31_duplicate_ids",
+    f"""{_DETAIL}, pages AS (SELECT {_K}, id // {PAGE} AS page, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM facts GROUP BY {_K}, page)
+    SELECT p.* FROM pages p JOIN classed c ON {' AND '.join(f'p.{k} IS NOT DISTINCT FROM c.{k}' for k in CONTENT)}""",
+)
+def _(spark, sf):
+    facts = _facts(spark, sf)
+    return dup.id_pages(facts, CONTENT, "id", dup.duplicate_groups(facts, CONTENT), PAGE)
+
+
 @query(
     "a3_duplicate_summary",
     f"""{_DETAIL} SELECT source_id, count(*) AS groups, CAST(sum(occurrences) AS BIGINT) AS rows_involved, CAST(sum(occurrences - 1) AS BIGINT) AS excess,
@@ -96,11 +110,12 @@ def _(spark, sf):
 
 @query(
     "a6_repeated_raw",
-    "SELECT source, sha256(text) AS digest, count(*) AS occurrences, count(DISTINCT doc_id) AS collections, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM documents WHERE text IS NOT NULL GROUP BY source, sha256(text) HAVING count(DISTINCT doc_id) > 1",
+    "SELECT source, sha256(text) AS digest, count(*) AS occurrences, count(DISTINCT doc_id) AS collections, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents WHERE text IS NOT NULL GROUP BY source, sha256(text) HAVING count(DISTINCT doc_id) > 1",
 )
 def _(spark, sf):
     d = table(spark, sf, "documents").filter("text is not null").select("source", F.sha2("text", 256).alias("digest"), "doc_id")
-    return dup.duplicate_groups(d, ["source", "digest"], 2, F.countDistinct("doc_id").alias("collections"), dup.joined_ids("doc_id").alias("ids")).filter("collections > 1")
+    ids = [F.countDistinct("doc_id").alias("collections"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")]
+    return dup.duplicate_groups(d, ["source", "digest"], 2, *ids).filter("collections > 1")
 
 
 @query(
@@ -121,7 +136,7 @@ _PRICE = lambda c: f"coalesce(regexp_replace(CAST({c} AS VARCHAR), '\\.0+$|(\\.[
 @query(
     "a8_semantic_variations",
     f"""{WITH_QUOTES}, once AS (SELECT product_id, line, quantity, concat_ws('/', {_PRICE('p_min')}, {_PRICE('p_common')}, {_PRICE('p_max')}, market_status) AS content, count(*) AS n FROM quotes GROUP BY ALL)
-    SELECT product_id, line, quantity, count(*) AS versions, CAST(sum(n) AS BIGINT) AS observations, string_agg(content, '; ' ORDER BY content) AS contents FROM once GROUP BY product_id, line, quantity HAVING count(*) > 1""",
+    SELECT * FROM (SELECT *, count(*) OVER w AS versions, CAST(sum(n) OVER w AS BIGINT) AS observations FROM once WINDOW w AS (PARTITION BY product_id, line, quantity)) WHERE versions > 1""",
 )
 def _(spark, sf):
     shown = lambda c: F.coalesce(keys.decimal_key(F.col(c)), F.lit("-"))
@@ -140,13 +155,14 @@ def _(spark, sf):
 
 @query(
     "a9_coverage_hash",
-    f"""{_LOGICAL}, lines AS (SELECT source_id AS b, sha256(string_agg(source_id || '|' || quote_date || '|' || contents, chr(10) ORDER BY quote_date)) AS h, count(*) AS n FROM logical GROUP BY source_id)
-    SELECT sha256(string_agg(h, chr(10) ORDER BY b)) AS digest, CAST(sum(n) AS BIGINT) AS rows FROM lines""",
+    f"""{_LOGICAL}, lines AS (SELECT source_id, date_trunc('month', quote_date) AS m, sha256(string_agg(source_id || '|' || quote_date || '|' || contents, chr(10) ORDER BY quote_date)) AS h, count(*) AS n FROM logical GROUP BY source_id, m)
+    SELECT sha256(string_agg(h, chr(10) ORDER BY source_id, m)) AS digest, CAST(sum(n) AS BIGINT) AS rows FROM lines""",
 )
 def _(spark, sf):
     logical = dup.logical_contents(quotes(spark, sf), "source_id", "quote_date", CONTENT)
     line = F.concat_ws("|", F.col("source_id").cast("string"), F.col("quote_date").cast("string"), F.col("contents").cast("string"))
-    return dup.ordered_hash(logical, line, ["source_id", "quote_date"], F.col("source_id"))
+    # a source's month is one bucket
+    return dup.ordered_hash(logical, line, ["source_id", "quote_date"], F.struct("source_id", F.trunc("quote_date", "month").alias("m")))
 
 
 @query(
