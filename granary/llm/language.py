@@ -17,11 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import by_bytes
 from .common import col, documents, extended, fresh, map_arrow
 
 #: Bounds of the sample: labelled rows of a language that train, and those among them that are landmarks.
 TRAIN_ROWS = 240
 LANDMARKS = 60
+#: Code points of a text that train at most, so that the sample is bounded; predictions read whole texts.
+TRAIN_CHARS = 200_000
+#: Languages that are learnt at most, those with most labelled rows; all have 60 landmarks each in one matrix.
+MOST_LANGUAGES = 200
 RIDGE = 1e-2
 #: Presence tables of up to so many n-grams are direct; larger alphabets use sorted search.
 DIRECT = 1 << 22
@@ -170,15 +175,15 @@ def sample(df: DataFrame, key: str, text: str, lang: str, rows: int = TRAIN_ROWS
     from pyspark.sql import Window
 
     there = df.filter(col(lang).isNotNull() & col(text).isNotNull() & (remainder(col(key)) != 1)).select(col(lang).alias("lang"), col(text).alias("text"), F.xxhash64(col(key).cast("string")).alias("h"))
-    counts = there.groupBy("lang").count().collect()
+    counts = there.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES).collect()
     if not counts:
         return []
     # a hash below this share of its range: wanted rows and a margin
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, (2 * rows + 50) / r["count"])))])
-    near = there.filter(F.pmod(F.col("h"), F.lit(1_000_000)) <= share[F.col("lang")] * 1_000_000)
+    near = there.filter(F.col("lang").isin(*[r["lang"] for r in counts])).filter(F.pmod(F.col("h"), F.lit(1_000_000)) <= share[F.col("lang")] * 1_000_000)
     order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
     picked = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rows)
-    return [(r["lang"], r["text"]) for r in picked.orderBy("k", "lang").select("lang", "text").collect()]
+    return [(r["lang"], r["text"]) for r in picked.orderBy("k", "lang").select("lang", F.left("text", F.lit(TRAIN_CHARS)).alias("text")).collect()]
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str, str]:
@@ -194,10 +199,10 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame
         import pyarrow as pa
 
         for whole in batches:
-            for start in range(0, whole.num_rows, 4 * BATCH):
-                batch = whole.slice(start, 4 * BATCH)
-                names, scores = model.predict(batch.column(place).to_pylist())
-                yield extended(batch, pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()))
+            texts = whole.column(place).to_pylist()
+            for first, n in by_bytes([len(t or "") for t in texts]):
+                names, scores = model.predict(texts[first : first + n])
+                yield extended(whole.slice(first, n), pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()))
 
     return map_arrow(df, run, [T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())]), pred, score
 

@@ -308,6 +308,52 @@ def test_language(docs, odd, none):
     assert {r[untrained[1]] for r in untrained[0].collect()} == {"und"}
 
 
+def brute_language(rows, texts, landmarks, ridge):
+    """Kernel ridge over Nystroem features written out with sets: scores of each language for each text."""
+    def grams(t):
+        kept = re.sub(r"\s+", " ", "".join(c if c.isalpha() else " " for c in (t or "").lower())).strip()
+        if not kept:
+            return frozenset()
+        padded = f" {kept} "
+        return frozenset(padded[k : k + n] for n in (1, 2, 3) for k in range(len(padded) - n + 1))
+
+    languages = sorted({g for g, _ in rows})
+    marks = [grams(t) for lang in languages for t in [t for g, t in rows if g == lang][:landmarks]]
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    matrix = lambda xs: np.array([[kernel(x, m) for m in marks] for x in xs])
+    values, vectors = np.linalg.eigh(matrix(marks))
+    keep = values > 1e-6 * values.max()
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    phi = matrix([grams(t) for _, t in rows]) @ root
+    y = np.array([[1.0 if g == lang else -1.0 for lang in languages] for g, _ in rows])
+    centred = phi - phi.mean(axis=0)
+    w = np.linalg.solve(centred.T @ centred + ridge * np.eye(phi.shape[1]), centred.T @ (y - y.mean(axis=0)))
+    return languages, (matrix([grams(t) for t in texts]) @ root - phi.mean(axis=0)) @ w + y.mean(axis=0)
+
+
+def test_language_against_kernels():
+    rng = random.Random(6)
+    parts = {"aa": "the of and tion ing er st".split(), "bb": "der die und ung keit sch en".split(), "cc": "le la que tion eau oi en".split()}
+    say = lambda lang, n: " ".join("".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(lang, say(lang, 20)) for _ in range(25) for lang in parts]
+    texts = [say(lang, rng.randint(2, 30)) for lang in parts for _ in range(10)]
+    model = language.train(rows, landmarks=8)
+    languages, want = brute_language(rows, texts, 8, language.RIDGE)
+    names, scores = model.predict(texts)
+    assert names == [languages[k] for k in want.argmax(axis=1)]
+    assert scores == pytest.approx(np.clip((want.max(axis=1) + 1) / 2, 0, 1).tolist(), abs=2e-3)
+
+
+def test_language_odd(spark, docs):
+    model = language.train(language.sample(docs, "doc_id", "text", "lang"))
+    long = "the of and that with for " * 60000
+    rows = [(1, "the house of the man and the dog", "x"), (1, "the house of the man and the dog", "x"), (None, "the house of the man and the dog", "y"), (2, long, None), (3, "12 !!", "z"), (4, None, "z")]
+    work, pred, score = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang_pred string"), model)
+    assert work.columns[:3] == ["doc_id", "text", "lang_pred"] and pred != "lang_pred"
+    got = sorted((repr(r["doc_id"]), r["lang_pred"], r[pred]) for r in work.collect())
+    assert got == sorted([("1", "x", "en"), ("1", "x", "en"), ("None", "y", "en"), ("2", None, "en"), ("3", "z", "und"), ("4", "z", "und")])
+
+
 def test_html():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=x>Menu</a></ul></nav>
     <div class="ad">Buy this now please</div><article><h1>Head &amp; line</h1><p><b>First   part<br><p>Second &eacute; part<p>x</article>
