@@ -119,18 +119,60 @@ def _(spark):
 each("k28_masked_settings", lambda c: tx.mask_settings(c, ["s3cr3t", "pw"]), [("login s3cr3t and pw", "login *** and ***"), ("nothing", "nothing"), (None, None)])
 
 
-@query("stream_daily_counts", "SELECT date_trunc('day', ts)::DATE AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
-def _(spark, sf):
+def _shared(spark) -> str:
+    """A new folder that executors share; a temporary one only on one machine."""
     import tempfile
     import uuid
 
-    from granary.streaming import ingest
-
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    name = f"stream_{uuid.uuid4().hex}"
-    state = f"{(shared or tempfile.mkdtemp(prefix='granary-')).rstrip('/')}/{name}"
+    return f"{(shared or tempfile.mkdtemp(prefix='granary-')).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@query("stream_daily_counts", "SELECT date_trunc('day', ts)::DATE AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
+def _(spark, sf):
+    from granary.streaming import ingest
+
+    state = _shared(spark)
     stream = ingest.raw_stream(spark, f"{sf}/events.parque[t]", "event_id long, ts timestamp, event_type string")  # a pattern, as the table may be one file
-    counts = ingest.run_to_table(ingest.daily_counts(stream, "ts", "event_type"), name, state)
+    counts = ingest.run_to_table(ingest.daily_counts(stream, "ts", "event_type"), "stream_" + state.rsplit("/", 1)[-1], state)
     return counts.select(F.col("day.start").cast("date").alias("day"), "event_type", "n")
+
+
+@golden(
+    "s1_raw_files", "name size sha256 category text",
+    [("frutas_2026-08-05_20260806_101500.html", "3", "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad", "frutas", "abc"), ("x.pdf", "3", "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad", None, "abc")],
+)
+def _(spark):
+    from granary.sources import files
+
+    folder = _shared(spark)
+    # three files by way of the text writer's folders, then renamed by Hadoop's file system, so that any shared store does
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name, content in (("frutas_2026-08-05_20260806_101500.html", "abc"), ("x.pdf", "abc"), ("notes.txt", "x")):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        out = path.getFileSystem(conf).create(path)
+        out.write(bytearray(content.encode()))
+        out.close()
+    found = files.decoded(files.with_name_parts(files.scan_raw(spark, folder)))
+    return found.withColumn("size", F.octet_length("content"))
+
+
+@query(
+    "x8_backup_candidates",
+    """WITH inv AS (SELECT 'd' || doc_id AS path, n_chars AS size, DATE '2001-01-01' + CAST(doc_id % 30 AS INT) AS day, source AS layer FROM documents),
+    ev AS (SELECT CASE WHEN lang = 'fr' THEN 'other' ELSE 'd' || doc_id END AS path, md5(text) AS sha256, n_chars + CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END AS size FROM documents UNION ALL SELECT 'd' || doc_id, 'q' || quality, CAST(toxic AS BIGINT) FROM labels),
+    p AS (SELECT path, count(DISTINCT (sha256, size)) AS signatures, min(sha256) AS sha256, min(size) AS proven FROM ev GROUP BY path),
+    b AS (SELECT inv.*, p.sha256, CASE WHEN p.path IS NULL THEN 'no_manifest' WHEN signatures > 1 THEN 'conflict' WHEN inv.size IS DISTINCT FROM proven THEN 'size_mismatch' END AS bad FROM inv LEFT JOIN p USING (path))
+    SELECT path, sha256, day, layer, coalesce(bad, CASE WHEN row_number() OVER (PARTITION BY bad, sha256 ORDER BY day, layer NULLS FIRST, path) = 1 THEN 'candidate' ELSE 'represented' END) AS state FROM b""",
+)
+def _(spark, sf):
+    from granary.operators import raw
+
+    d, k = table(spark, sf, "documents"), F.col("doc_id")
+    path = F.concat(F.lit("d"), k.cast("string"))
+    inventory = d.select(path.alias("path"), F.col("n_chars").alias("size"), F.date_add(F.lit("2001-01-01").cast("date"), (k % 30).cast("int")).alias("day"), F.col("source").alias("layer"))
+    evidence = d.select(F.when(F.col("lang") == "fr", "other").otherwise(path).alias("path"), F.md5("text").alias("sha256"), (F.col("n_chars") + F.when(k % 13 == 0, 1).otherwise(0)).alias("size"))
+    labels = table(spark, sf, "labels").select(path.alias("path"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("sha256"), F.col("toxic").cast("long").alias("size"))
+    return raw.select_candidates(inventory, evidence.union(labels))
