@@ -2,7 +2,8 @@
 
 Every (key, shard) pair has a score -ln(u) / weight, u uniform from a hash of the pair; the record goes to the shard with
 the least score. A shard that joins can only win records for itself, and a shard that leaves only gives up its own, so that
-a change of the shard count moves the fewest records. Everything is one projection; slots need one shuffle of narrow rows.
+a change of the shard count moves the fewest records. All that is one projection, kept as a narrow table; slots need one
+shuffle of it. Equal rows that fill a run of slots by themselves are dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, documents, fresh
+from .common import col, documents, durable, fresh
 
 #: Hex digits of md5 that make u: 52 bits, exact in a double.
 DIGITS = 13
-#: Rows that one slot-numbering task sorts, about.
+#: Rows that one slot-numbering task sorts, about; and the equal rows from which on, beside a share of all, they are dealt to PARTS parts.
 ROWS_PER_RUN = 20_000
+TIES_SHARE = 100_000
+PARTS = 256
 
 
 def score(key: Column, shard: Column, weight: Column) -> Column:
@@ -48,7 +51,7 @@ def assign(df: DataFrame, key: str, text: str, weights: Sequence[float], grown_w
     repeated rows get a slot each. Slots are gapless from 0 in the order of a hash of key and content, so they depend on
     neither the number of tasks nor the order of the input. An empty table gives no rows; other columns are ignored.
     """
-    k, size, crc, order, run, won = fresh(df, "key", "size", "crc", "order", "run", "won")
+    k, size, crc, order, run, won, part = fresh(df, "key", "size", "crc", "order", "run", "won", "part")
     body = F.coalesce(col(text).cast("string"), F.lit(""))
     rows = df.count()
     runs = max(1, 2 ** math.ceil(math.log2(max(1.0, rows / (len(weights) * ROWS_PER_RUN)))))
@@ -61,18 +64,45 @@ def assign(df: DataFrame, key: str, text: str, weights: Sequence[float], grown_w
         F.when(score(col(k), F.lit(len(weights)), F.lit(float(grown_weight))) < F.col(won)["score"], len(weights)).otherwise(F.col(won)["shard"]).cast("int").alias("grown_shard"),
         # the leading digits of the order: runs follow one another in that order
         F.floor(F.conv(F.substring(order, 1, 6), 16, 10).cast("long") * runs / 16**6).cast("int").alias(run),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int").alias(part),
     )
+    placed = durable(placed)
     counts = placed.groupBy("shard", run).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", run, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("shard", run).orderBy(order, col(key))
-    numbered = placed.withColumn("at", F.row_number().over(within))
+    numbered = _numbered(placed, counts, run, order, part, max(ROWS_PER_RUN, rows // TIES_SHARE), [order, col(key)])
     return numbered.join(starts, ["shard", run]).select(
         col(key), col(size).alias("size"), col(crc).cast("long").alias("text_crc32"), F.lit("key").alias("law"),
         F.col("shard").cast("int").alias("shard"), (F.col("start") + F.col("at") - 1).cast("long").alias("slot"), "grown_shard",
     )
 
 
+def _numbered(placed: DataFrame, counts: DataFrame, run: str, order: str, part: str, bar: int, by: list) -> DataFrame:
+    """placed with `at`: 1, 2, ... within each run in that order. Orders of more than bar rows are numbered part by part."""
+    where = ["shard", run]
+    plain = lambda df: df.withColumn("at", F.row_number().over(Window.partitionBy(*where).orderBy(*by)))
+    big = counts.filter(F.col("n") > 4 * bar).select(*where)
+    if big.isEmpty():
+        return plain(placed)
+    ties = durable(placed.join(F.broadcast(big), where).groupBy(*where, order).agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > bar))
+    if ties.isEmpty():
+        return plain(placed)
+    # rows of ties with a lower order, of the run's few
+    lists = F.broadcast(ties.groupBy(*where).agg(F.collect_list(F.struct(F.col(order).alias("o"), "m")).alias("ties")))
+    before = F.aggregate(F.filter(F.coalesce("ties", F.array().cast("array<struct<o:string,m:bigint>>")), lambda t: t["o"] < F.col(order)), F.lit(0).cast("long"), lambda x, t: x + t["m"])
+    calm = placed.join(F.broadcast(ties.select(*where, order)), [*where, order], "left_anti")
+    out = plain(calm).join(lists, where, "left").withColumn("at", F.col("at") + before).drop("ties")
+    below = calm.select(*where, F.col(order).alias("mine")).join(F.broadcast(ties), where).filter(F.col("mine") < F.col(order)).groupBy(*where, order).agg(F.count(F.lit(1)).alias("below"))
+    equal = placed.join(F.broadcast(ties.select(*where, order)), [*where, order], "left_semi")
+    parts = equal.groupBy(*where, order, part).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*where, order).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    begin = parts.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    begin = begin.join(below, [*where, order], "left").join(lists, where).withColumn("begin", F.col("begin") + F.coalesce("below", F.lit(0)) + before).drop("below", "ties")
+    inside = equal.withColumn("at", F.row_number().over(Window.partitionBy(*where, order, part).orderBy(F.lit(0))))
+    dealt = inside.join(begin, [*where, order, part]).withColumn("at", F.col("at") + F.col("begin")).drop("begin")
+    return out.unionByName(dealt)
+
+
 SHARDS = 40
 
 

@@ -59,6 +59,20 @@ def test_sharding(docs, texts):
     assert grown == {r["doc_id"]: r["grown_shard"] for r in rows}
 
 
+def test_sharding_of_equal_rows(spark, monkeypatch):
+    """Most rows are equal: slots stay gapless and in the order of hashes, whether equal rows are dealt or not."""
+    rows = [(7, "same")] * 300 + [(8, "also")] * 90 + [(k, f"t{k}") for k in range(200)] + [(None, None)] * 60
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    shown = lambda: sorted((r["shard"], r["slot"], repr(r["doc_id"]), r["text_crc32"]) for r in sharding.assign(df, "doc_id", "text", [1.0] * 3).collect())
+    want = shown()
+    monkeypatch.setattr(sharding, "ROWS_PER_RUN", 20)
+    assert shown() == want
+    slots = collections.defaultdict(list)
+    for shard, slot, *_ in want:
+        slots[shard].append(slot)
+    assert all(s == list(range(len(s))) for s in slots.values())
+
+
 def test_sharding_weights(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     n = collections.Counter(r["shard"] for r in sharding.assign(df, "doc_id", "text", [1.0, 3.0]).collect())
