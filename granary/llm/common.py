@@ -77,6 +77,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Has the driver clear what no plan needs any more, such as the shuffle files below a checkpoint, before the next large step."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 #: A key of more rows than these, and than a HOT_KEYS-th of all, is hot; there are fewer than HOT_KEYS such keys.
 HOT_ROWS = 100_000
 HOT_KEYS = 200_000
