@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, documents, extended, fresh, map_arrow, trimmed
+from .common import col, documents, extended, fresh, held, map_arrow, trimmed
 
 #: Bytes of a leaf of the tree; longer texts are halved.
 LEAF = 2_048
@@ -29,7 +29,7 @@ SPREAD = 1 << 20
 FIRST_WINDOW = 16
 #: Bytes around a join in which agreement doesn't count: contractions and special tokens are shorter.
 MARGIN = 32
-#: Bytes of words and pre-tokens that a task remembers before it forgets them all (a batch may add up to twice its own).
+#: Bytes of words and pre-tokens that a worker remembers before it forgets them all (a batch may add up to twice its own).
 REMEMBERED = 6 << 20
 #: Bytes of text that are encoded at a time (one text at least).
 SLICE_BYTES = 1 << 20
@@ -441,7 +441,7 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None, spread: i
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = Codec(path)
+        codec = held(path, lambda: Codec(path))
         for whole in batches:
             texts = whole.column(place).cast(pa.binary()).to_pylist()
             for first, n in by_bytes([len(t or b"") for t in texts]):
@@ -450,8 +450,8 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None, spread: i
     size = F.octet_length(col(text))
     long = df.filter(size > spread)
     if long.isEmpty():
-        return map_arrow(df, run, added), ids, decoded
-    short = map_arrow(df.filter(size.isNull() | (size <= spread)), run, added)
+        return map_arrow(df, run, added, keeps=path), ids, decoded
+    short = map_arrow(df.filter(size.isNull() | (size <= spread)), run, added, keeps=path)
     (h,) = fresh(df, "hash")
     long = long.withColumn(h, F.sha2(col(text), 256))
     done = _spread(long.select(col(h).alias("h"), col(text).alias("text")).dropDuplicates(["h"]), path, spread).toDF(h, ids, decoded)

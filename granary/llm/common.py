@@ -105,10 +105,27 @@ def looked_up(rows: DataFrame, table: DataFrame, key: list[str], count: str, tot
     return rows.join(F.broadcast(hot), key).unionByName(cold)
 
 
-def trimmed(run):
+def _held() -> dict:
+    """What this Python process holds from task to task."""
+    import sys
+    import types
+
+    # functions travel to workers by value, so a module of theirs would be new for each task
+    return vars(sys.modules.setdefault("granary_held", types.ModuleType("granary_held"))).setdefault("held", {})
+
+
+def held(name: str, make):
+    """make(), once in this Python process and as long as its tasks are of functions trimmed to keep that name."""
+    if name not in _held():
+        _held()[name] = make()
+    return _held()[name]
+
+
+def trimmed(run, keeps: str = ""):
     """The function of a mapInArrow that gives its worker's free memory back to the system at the end of each task.
 
-    Workers stay for the tasks of other stages, and would hold the most that any of their tasks took.
+    Workers stay for the tasks of other stages, and would hold the most that any of their tasks took. What tasks of other
+    functions held for their next ones goes at the start, but for the name that this function keeps.
     """
 
     def wrapped(batches):
@@ -116,6 +133,8 @@ def trimmed(run):
 
         import pyarrow as pa
 
+        for name in [n for n in _held() if n != keeps]:
+            del _held()[name]
         try:
             yield from run(batches)
         finally:
@@ -127,7 +146,7 @@ def trimmed(run):
     return wrapped
 
 
-def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequence[str] | None = None) -> DataFrame:
+def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequence[str] | None = None, keeps: str = "") -> DataFrame:
     """df.mapInArrow(run) where run returns df's columns and then the added ones, in that order.
 
     Columns travel under plain names, as Spark can't pass on names with dots; names renames the result (df's and the added).
@@ -136,7 +155,7 @@ def map_arrow(df: DataFrame, run, added: Sequence[T.StructField], names: Sequenc
     plain = [f"c{i}" for i in range(len(df.columns))]
     fields = [T.StructField(n, f.dataType) for n, f in zip(plain, df.schema.fields, strict=True)]
     new = [T.StructField(f"a{i}", f.dataType) for i, f in enumerate(added)]
-    return df.toDF(*plain).mapInArrow(trimmed(run), T.StructType([*fields, *new])).toDF(*(names or [*df.columns, *(f.name for f in added)]))
+    return df.toDF(*plain).mapInArrow(trimmed(run, keeps), T.StructType([*fields, *new])).toDF(*(names or [*df.columns, *(f.name for f in added)]))
 
 
 def extended(batch, *arrays):
