@@ -104,6 +104,17 @@ def pre_tokens(words):
     return heads, tails
 
 
+def numbered(known: dict, keys: list) -> tuple[np.ndarray, list]:
+    """(the number of each of different keys, those that are new), which get the next numbers."""
+    get = known.get
+    numbers = np.array([get(k, -1) for k in keys], dtype=np.int64)
+    fresh = np.flatnonzero(numbers < 0)
+    new = [keys[i] for i in fresh.tolist()]
+    numbers[fresh] = np.arange(len(known), len(known) + len(new))
+    known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+    return numbers, new
+
+
 class Growing:
     """An array of rows that columns are added to."""
 
@@ -234,17 +245,14 @@ class Codec:
             self.forget()
         index, pieces = self.index, self.pieces
         listed = words.cast(pa.binary()).to_pylist()
-        new = [w for w in listed if w not in index]
+        numbers, new = numbered(index, listed)
         if new:
-            index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
             heads, tails = pre_tokens(pa.array(new, type=pa.binary()).cast(pa.utf8()))
             size = pc.binary_length(heads).to_numpy().astype(np.int64)
             second = np.flatnonzero(pc.binary_length(tails).to_numpy())
             met = pa.concat_arrays([heads, tails.take(pa.array(second))]).dictionary_encode()
-            parts = met.dictionary.to_pylist()
-            asked = [p for p in parts if p not in pieces]
-            pieces.update(zip(asked, range(len(pieces), len(pieces) + len(asked)), strict=True))
-            number = np.array([pieces[p] for p in parts], dtype=np.int64)[met.indices.to_numpy()]
+            number, asked = numbered(pieces, met.dictionary.to_pylist())
+            number = number[met.indices.to_numpy()]
             made = np.stack([number[: len(new)], np.full(len(new), -1, dtype=np.int64), size])
             made[1, second] = number[len(new) :]
             self.words.add(made)
@@ -253,7 +261,7 @@ class Codec:
                 self.places.add(np.stack([self.tokens.n + starts, counts]))
                 self.tokens.add(found)
             self.held += sum(map(len, new)) + sum(map(len, asked))
-        return np.array([index[w] for w in listed], dtype=np.int64)
+        return numbers
 
     def pretokens(self, asked: list[str]) -> tuple[Tokens, np.ndarray, np.ndarray]:
         """(tokens, number of each, where each's begin) of parts of words, as bytes from their own start on.
