@@ -45,7 +45,7 @@ def word_count(text: Column) -> Column:
 
 #: Rows, and bytes, of a batch between Spark and Python at most. Texts are long, and both sides hold a batch or two for each task.
 ARROW_ROWS = 500
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 
 
 def lean(spark: SparkSession) -> None:
