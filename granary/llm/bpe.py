@@ -30,7 +30,7 @@ FIRST_WINDOW = 16
 #: Bytes around a join in which agreement doesn't count: contractions and special tokens are shorter.
 MARGIN = 32
 #: Bytes of words and pre-tokens that a worker remembers before it forgets them all (a batch may add up to twice its own).
-REMEMBERED = 2 << 20
+REMEMBERED = 4 << 20
 #: Bytes of text that are encoded at a time (one text at least).
 SLICE_BYTES = 1 << 20
 
