@@ -848,6 +848,86 @@ def test_common_windows_are_told(spark, monkeypatch):
     assert len(hot) == sum(n > 40 for n in values) > 0 and (np.diff(hot.astype(float)) > 0).all()
 
 
+def crowded(own, rng, passages=6, others=30):
+    """(rows, words of each late text that only one in the middle of a crowd holds too): the crowd has the passage with so many edits that no stretch is alike."""
+    rows, want = [], {}
+    for n in range(passages):
+        passage = own(100)
+        texts = []
+        for k in range(2 * others + 2):
+            new = passage[:]
+            edits = [30 if k == others else 70] if k in (others, 2 * others + 1) else range(rng.randrange(12), 100, 14)
+            for at in edits:
+                new[at] = own(1)[0]
+            texts.append([*own(20), *new, *own(20)])
+        rows += [(1000 * n + k, " ".join(t)) for k, t in enumerate(texts)]
+        want[1000 * n + 2 * others + 1] = (1000 * n + others, set(range(20, 120)))
+    return rows, want
+
+
+@pytest.mark.parametrize("common_values", [False, True])
+def test_passages_of_one_text_in_a_crowd(spark, monkeypatch, common_values):
+    """Large groups of windows lose no partner, neither when they are met in one task nor when their value is common."""
+    rows, want = crowded(made_words(61), random.Random(62))
+    monkeypatch.setattr(passages, "ROWS", 40)
+    monkeypatch.setattr(passages, "ASKED", 7, raising=False)
+    monkeypatch.setattr(passages, "SHOWN", 11, raising=False)
+    if common_values:
+        monkeypatch.setattr(passages, "HOT_ROWS", 0)
+        monkeypatch.setattr(passages, "HOT_SHARES", (0.0, 0.0))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {(r["doc_id"], r["of_doc_id"]): set(range(r["first_word"], r["first_word"] + r["n_words"])) for r in passages.repeats(frame).collect()}
+    assert sum(len(got.get((i, of), set()) & w) >= 0.9 * len(w) for i, (of, w) in want.items()) == len(want)
+
+
+def test_pairs_left_out_are_held_by_others():
+    rng = np.random.default_rng(5)
+    least, out = 6, 0
+    for _ in range(30):
+        texts = [np.concatenate([rng.integers(0, 9, 12), np.tile(rng.integers(0, 3, 2), 9), rng.integers(0, 9, 12)]).astype(np.uint64) for _ in range(4)]
+        rows = [(n, *w) for n, x in enumerate(texts) for w in zip(*passages.compact_windows(x, least), strict=True) if x[w[0]] == x.min()]
+        ids, c, l, r = (np.array([r[k] for r in rows] * 2) for k in range(4))
+        asked = np.arange(len(ids)) < len(rows)
+        near = rng.integers(0, 3, (len(rows), 4)).astype(np.uint16)
+        near = np.concatenate([near, near])
+        one, other = np.flatnonzero(asked), np.flatnonzero(~asked)
+        none = np.full(len(ids), -1)
+        before = passages.follows(np.zeros(len(ids), dtype=int), asked, ids, none, c, r)
+        kinds = []
+        for b in (before, none):
+            pairs = [p for p in passages.alike_around(one, other, ids, near, c, b)]
+            i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            kinds.append({(ids[i], ids[j], c[i] - c[j], *(x[n] for x in places)) for i, j, n, places in ((i[n], j[n], n, passages.around(c, l, r, i, j, least)) for n in range(len(i)))})
+        out += len(kinds[1] - kinds[0])
+        for p in kinds[1]:
+            assert any(p[:3] == q[:3] and q[3] <= p[3] and q[4] >= p[4] and q[5] <= p[5] and q[6] >= p[6] and q[7] >= p[7] for q in kinds[0])
+    assert out > 100
+
+
+def test_stretches_of_overlapping_passages(spark):
+    own = made_words(71)
+    a, b = own(60), own(60)
+    rows = [(1, " ".join([*own(20), *a])), (2, " ".join([*b, *own(20)])), (3, " ".join([*own(10), *a[:59], *a[59:], *b, *own(30), *a]))]
+    rows += [(4, rows[2][1])]
+    got = sorted(tuple(r) for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(3, 10, 60, 1, 20, 1.0, 1), (3, 70, 60, 2, 0, 1.0, 1), (3, 160, 60, 1, 20, 1.0, 1), (4, 0, 220, 3, 0, 1.0, 1)]
+
+
+def test_intervals_are_merged_as_chained(spark):
+    rng = np.random.default_rng(8)
+    n = 400
+    pair = [rng.integers(0, 3, n), np.zeros(n, dtype=np.int64), rng.integers(0, 2, n), np.zeros(n, dtype=np.int64)]
+    s, t = rng.integers(0, 900, n), rng.integers(0, 900, n)
+    t = np.where(rng.random(n) < 0.5, s + rng.integers(0, 9, n), t)
+    e, u = s + rng.integers(46, 90, n), t + rng.integers(46, 90, n)
+    schema = "id long, part long, of long, of_part long, diagonal int, s int, e int, t int, u int"
+    rows = lambda columns: list(zip(*(c.tolist() for c in columns), strict=True))
+    *places, row = passages.merged(pair, s - t, s, e, t, u)
+    ones = lambda data: sorted((*r[:8], min(r[8]), max(r[8])) for r in passages.chained(spark.createDataFrame(data, schema)).collect())
+    assert len(row) < n
+    assert ones(rows([*pair, s - t, s, e, t, u])) == ones(rows([*(p[row] for p in pair), *places]))
+
+
 def edited(words, own, rng, kind):
     """Words with as many edits of a kind as keep the sets of shingles alike at 0.8."""
     last = words
