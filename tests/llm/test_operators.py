@@ -880,6 +880,33 @@ def test_passages_of_one_text_in_a_crowd(spark, monkeypatch, common_values):
     assert sum(len(got.get((i, of), set()) & w) >= 0.9 * len(w) for i, (of, w) in want.items()) == len(want)
 
 
+def test_rows_of_one_word_in_a_crowd(spark):
+    """A word many times over doesn't make all texts with it pairs; stretches beyond it, and parted ones of that word alone, are found."""
+    own = made_words(63)
+    shared = own(80)
+    edited = shared[:]
+    edited[40] = "other"
+    low = lambda w: min(shingles.mixed(passages.shingle_hashes(shingles.many([" ".join([w] * 5).encode()])[0]) ^ seed)[0] for seed in passages._seeds(3))
+    word = min(own(3000), key=low)  # the minimum of all windows that hold five of it
+    row = {k: [word] * 30 for k in range(40)}
+    row[9], row[29] = ([*[word] * 44, own(1)[0], *[word] * 44] for _ in range(2))
+    after = {k: own(60) for k in range(40)}
+    after[12], after[32] = [*shared, *own(20)], [*edited, *own(20)]
+    docs = spark.createDataFrame([(k, 0, " ".join([*own(20 + k % 7), *row[k], *after[k]])) for k in range(40)], "id long, part long, text string").repartition(2)
+    pairs, group = passages.candidates(docs, 46, 3)
+    assert group.count() > 500 and group.select("id").distinct().count() == 40
+    found = passages.verified(docs, pairs, 46, 0.8)
+    asked = passages.rest(group, found, 46)
+    assert asked.select("id", "of").distinct().count() <= 10  # of 780
+    both = found.union(passages.verified(docs, asked, 46, 0.8, between=True)).collect()
+    assert {(r["id"], r["of"]) for r in both} == {(29, 9), (32, 12)}
+    assert len(covered([{"doc_id": r["id"], **r.asDict()} for r in both])[32]) >= 80
+    a = np.arange(60, dtype=np.uint32)
+    assert passages.alike_stretches(a, a, 46, 0.8, (0,), exact=False) == []
+    b = np.where(a == 30, 99, a).astype(np.uint32)
+    assert passages.alike_stretches(a, b, 46, 0.8, (0,), exact=False) == [(0, 59, 0, 59 / 61)]
+
+
 def test_pairs_left_out_are_held_by_others():
     rng = np.random.default_rng(5)
     least, out = 6, 0
