@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm import bpe, jaccard, mixing, passages, quality
-from granary.llm.common import shared_folder
+from granary.llm.common import heaps_let_go, shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +39,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, number of tokens, and SHA-256 of the token ids and of the decoded text, for each document of the mix."""
+    heaps_let_go(spark)  # tokenizers need the room
     return bpe.digests(docs, ["doc_id", "source"])
 
 

@@ -1,9 +1,11 @@
 """The pipeline against a brute-force version, its stages on odd tables, and the SQL-expressible queries against DuckDB."""
 
 import collections
+import gc
 import hashlib
 import random
 import sys
+import time
 from pathlib import Path
 
 import duckdb
@@ -100,6 +102,18 @@ def test_stages(spark, sf, tmp_path):
     assert counts[1] <= counts[0] and counts[2] == counts[1] and counts[4] == counts[3] > 0
 
 
+def test_encoded_gives_heap_back(spark, sf):
+    """What earlier stages grew a JVM's heap by is free before tokenizers are loaded."""
+    jvm = spark.sparkContext._jvm
+    blocks = [spark.sparkContext._gateway.new_array(jvm.byte, 200 << 20) for _ in range(4)]
+    grown = jvm.java.lang.Runtime.getRuntime().totalMemory()
+    blocks.clear()
+    gc.collect()
+    time.sleep(1)  # for the gateway to drop them
+    corpus_pipeline.encoded(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert grown >= 800 << 20 and jvm.java.lang.Runtime.getRuntime().totalMemory() < grown - (400 << 20)
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_on_odd_tables(spark, sf, name, stage):
     odd = spark.createDataFrame([(*r, 5, "s", "w", "t", "k") for r in ODD], SCHEMA)
